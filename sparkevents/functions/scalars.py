@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def _div(a: Column, b: int) -> Column:
     return F.call_function("div", a, F.lit(b).cast("bigint"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def or_zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0).cast("bigint"))
 
@@ -28,6 +35,19 @@ def or_false(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
+ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
+def upper(text: Column) -> Column:
+    """Upper case. Plain ASCII, which hashes are, takes a byte-wise path instead of the Unicode case tables."""
+    fast = F.translate(text, ASCII_LOWER, ASCII_LOWER.upper())
+    return F.when(F.octet_length(text) == F.char_length(text), fast).otherwise(F.upper(text))
+
+
+def lower_hex(number: Column) -> Column:
+    return F.translate(F.hex(number), "ABCDEF", "abcdef")
+
+
 def make_guid(sensor: Column, pid: Column, create_time: Column) -> Column:
     """Process identifier text of a 32-bit sensor id, a 32-bit pid and a 64-bit create time."""
     sensor, pid, ct = (c.cast("bigint") for c in (sensor, pid, create_time))
@@ -82,23 +102,26 @@ def ipv6_text(high: Column, low: Column, scope: Column) -> Column:
     The longest run of two or more zero groups becomes ``::`` (the first one when runs tie), and an IPv4-mapped
     address prints as a dotted quad.
     """
-    groups: list[Column] = []
-    for half in (unsigned_bits(high), unsigned_bits(low)):
-        for k in range(4):
-            first = F.shiftright(half, 16 * k).bitwiseAND(255)
-            second = F.shiftright(half, 16 * k + 8).bitwiseAND(255)
-            groups.append(first * 256 + second)
-    joined = F.concat(F.lit(":"), F.concat_ws(":", *[F.lower(F.hex(g)) for g in groups]), F.lit(":"))
-    text = F.substring(joined, F.lit(2), F.length(joined) - 2)
-    for run in range(2, 9):
-        zeros = ":0" * run + ":"
-        at = F.instr(joined, F.lit(zeros))
-        head = F.substring(joined, F.lit(2), F.greatest(at - 2, F.lit(0)))
-        tail_from = at + len(zeros)
-        tail = F.substring(joined, tail_from, F.greatest(F.length(joined) - tail_from, F.lit(0)))
-        text = F.when(at > 0, F.concat(head, F.lit("::"), tail)).otherwise(text)
-    mapped = (unsigned_bits(high) == 0) & (unsigned_bits(low).bitwiseAND(0xFFFFFFFF) == F.lit(0xFFFF0000))
-    text = F.when(mapped, _octets(unsigned_bits(low), (32, 40, 48, 56))).otherwise(text)
+    def text_of(halves: Column) -> Column:
+        groups = [
+            F.shiftright(halves[h], 16 * k).bitwiseAND(255) * 256 + F.shiftright(halves[h], 16 * k + 8).bitwiseAND(255)
+            for h in (0, 1)
+            for k in range(4)
+        ]
+        joined = F.concat(F.lit(":"), F.concat_ws(":", *[lower_hex(g) for g in groups]), F.lit(":"))
+        mapped = (halves[0] == 0) & (halves[1].bitwiseAND(0xFFFFFFFF) == F.lit(0xFFFF0000))
+        return F.when(mapped, _octets(halves[1], (32, 40, 48, 56))).otherwise(let(joined, shorten))
+
+    def shorten(joined: Column) -> Column:
+        text = F.regexp_replace(joined, "^:|:$", "")
+        for run in range(2, 9):
+            # The first of the longest runs; one colon of each neighbour goes with it.
+            zeros = "^(.*?)" + ":0" * run + ":(.*)$"
+            found = F.regexp_replace(F.regexp_replace(joined, zeros, "$1::$2"), "^:(?!:)|(?<!:):$", "")
+            text = F.when(F.instr(joined, F.lit(":0" * run + ":")) > 0, found).otherwise(text)
+        return text
+
+    text = let(F.array(unsigned_bits(high), unsigned_bits(low)), text_of)
     return F.when(scope.isNotNull(), F.concat(text, F.lit("%"), scope)).otherwise(text)
 
 
@@ -125,7 +148,7 @@ def utf8_text(raw: Column) -> Column:
 
 
 def body_md5(body: Column) -> Column:
-    return F.upper(F.md5(body))
+    return upper(F.md5(body))
 
 
 def is_gzip(content: Column) -> Column:
@@ -161,9 +184,14 @@ def millis_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS")
 
 
+def base64_text(raw: Column) -> Column:
+    """Base64 on one line; Spark may break long output into lines of 76 characters."""
+    return F.replace(F.base64(raw), F.lit("\r\n"), F.lit(""))
+
+
 def event_text(text: Column, as_base64: bool = False) -> Column:
     """Event text as sent in a request body, optionally base64 encoded."""
-    return F.base64(text.cast("binary")) if as_base64 else text
+    return base64_text(text.cast("binary")) if as_base64 else text
 
 
 def fill_template(template: str, **values: Column) -> Column:

@@ -1,10 +1,12 @@
-"""Fitting nested columns to a declared schema."""
+"""Schemas: fitting nested columns to a declared one, and the Arrow form tasks exchange."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def fit(c: Column, have: T.DataType, want: T.DataType) -> Column:
@@ -23,3 +25,7 @@ def fit(c: Column, have: T.DataType, want: T.DataType) -> Column:
     if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
         return F.transform(c, lambda x: fit(x, have.elementType, want.elementType))
     return c.cast(want)
+
+
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    return to_arrow_schema(schema)

@@ -5,12 +5,13 @@ A missing key is SQL NULL; a JSON null is a VARIANT null, which is a present val
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .scalars import let
+
 MESSAGE = "map<string,variant>"
 
 
@@ -54,11 +55,6 @@ def as_object(m: Column) -> Column:
     return F.to_variant_object(m)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once, also inside lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def value_map(values: dict[str, Column]) -> Column:
     """Map of the values that are not NULL."""
     entries = reduce(lambda acc, kv: acc + [F.lit(kv[0]), kv[1]], values.items(), [])

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import event_text, fill_template
+from ..functions.structs import arrow_schema
 from .ordered import ROWS_PER_SEGMENT, with_segment
 
 GREEDY = "greedy"
@@ -130,7 +131,7 @@ def _summaries(narrow: DataFrame, keys: list[str], order: str, limit: int, mode:
     def summarize(table: pa.Table) -> pa.Table:
         _, prefix = _prefix(table, order)
         row = {k: table.column(k)[0].as_py() for k in (*keys, "_segment")} | answers(prefix, limit, mode)
-        return pa.Table.from_pylist([row], schema=_arrow(schema))
+        return pa.Table.from_pylist([row], schema=arrow_schema(schema))
 
     return narrow.groupBy(*keys, "_segment").applyInArrow(summarize, schema)
 
@@ -172,7 +173,7 @@ def _starts(narrow: DataFrame, keys: list[str], order: str, limit: int, mode: st
         found = starts_from(prefix, table.column("_carry")[0].as_py(), limit, mode)
         opened = table.column(order).take(pa.array(position[found]))
         row = {k: [table.column(k)[0].as_py()] for k in (*keys, "_segment", "_before")}
-        target = _arrow(schema)
+        target = arrow_schema(schema)
         arrays = [pa.array(v, type=target.field(k).type) for k, v in row.items()]
         values = opened.combine_chunks().cast(target.field("_starts").type.value_type)
         arrays.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
@@ -181,12 +182,6 @@ def _starts(narrow: DataFrame, keys: list[str], order: str, limit: int, mode: st
     return narrow.groupBy(*keys, "_segment").applyInArrow(list_starts, schema)
 
 
-def _arrow(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema, timezone="UTC")
-
-
 def pack_bundles(df: DataFrame, key: str | list[str], order: str, max_bytes: int = DEFAULT_MAX_BYTES,
                  mode: str = GREEDY, text: str = "value", out: str = "bundle_no",
                  rows_per_segment: int = ROWS_PER_SEGMENT) -> DataFrame:

@@ -33,7 +33,7 @@ def json_type(v: Column) -> Column:
 
 def _step(key: Column) -> Column:
     """Path step of an object key; characters that could be read as another step are escaped."""
-    return F.concat(F.lit("."), F.regexp_replace(key, r"([.\\[\\\\])", r"\\\\$1"))
+    return F.concat(F.lit("."), F.regexp_replace(key, r"([.\[\\])", r"\\$1"))
 
 
 def _children(node: Column) -> Column:

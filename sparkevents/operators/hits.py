@@ -103,7 +103,7 @@ def _if_md5(text: Column, result: Column) -> Column:
 
 
 def md5_rule(r: Reads) -> Values:
-    return {k: _if_md5(r.text(k), V.variant(F.upper(r.text(k)))) for k in MD5_KEYS}
+    return {k: _if_md5(r.text(k), V.variant(S.upper(r.text(k)))) for k in MD5_KEYS}
 
 
 def ioc_type_rule(r: Reads) -> Values:
@@ -111,7 +111,7 @@ def ioc_type_rule(r: Reads) -> Values:
     ioc = r.value("ioc_type")
     (inner,) = r.share(ioc_object=V.as_message(F.when(V.is_object(ioc), ioc)))
     (md5,) = r.share(ioc_md5=V.string_value(inner["md5"]))
-    fixed = V.as_object(V.overlay(inner, {"md5": V.variant(F.upper(md5))}))
+    fixed = V.as_object(V.overlay(inner, {"md5": V.variant(S.upper(md5))}))
     return {"ioc_type": F.when(md5.isNotNull(), fixed)}
 
 
@@ -177,7 +177,7 @@ def link_rule(base_url: str, fresh: bool = False) -> Rule:
         )
         values = {"link_sensor": url(F.lit("#/host/"), r.int32("sensor_id").cast("string"))}
         for key in MD5_KEYS:
-            shown = F.upper(r.text(key)) if fresh else r.text(key)
+            shown = S.upper(r.text(key)) if fresh else r.text(key)
             values[f"link_{key}"] = _if_md5(r.text(key), url(F.lit("#/binary/"), shown))
         for link, guid, segment, default in (
             ("link_process", "process_guid", "segment_id", "0"),

@@ -479,8 +479,8 @@ def build_module(o: Options) -> Values:
         "image_file_header": F.coalesce(m["ImageFileHeader"], empty),
         "icon": F.coalesce(m["Icon"], empty),
         "size": number(m["OriginalModuleLength"], "decimal(20,0)"),
-        "sha256": F.upper(S.utf8_text(m["sha256"])),
-        "md5": F.upper(S.utf8_text(m["md5"])),
+        "sha256": S.upper(S.utf8_text(m["sha256"])),
+        "md5": S.upper(S.utf8_text(m["md5"])),
     }
 
 
@@ -701,7 +701,7 @@ def build(df: DataFrame, family: str, o: Options | None = None, naming: str = "c
           **literal: bool) -> DataFrame:
     """Typed table of one family."""
     values = family_columns(family, o or Options(), naming, **literal)
-    rows = df.filter(F.col(FAMILIES[family][0]).isNotNull())
+    rows = dispatch_family(df, "_family").filter(F.col("_family") == family)
     return rows.select(*keep, *[c.alias(k) for k, c in values.items()])
 
 

@@ -447,15 +447,10 @@ def sensor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         lambda _, v: v.isNotNull(),
     )
-    schema = spark_type()
-    wanted = {f.name: f.dataType for f in schema}
-    return flat.select(
-        *flat.columns,
-        headers.alias("headers"),
-        *[
-            fit(parts[name], flat.select(parts[name].alias("p")).schema["p"].dataType, dtype).alias(name)
-            if name in parts
-            else F.lit(None).cast(dtype).alias(name)
-            for name, dtype in wanted.items()
-        ],
-    )
+    made = flat.select(*[p.alias(name) for name, p in parts.items()]).schema
+    message = [
+        (fit(parts[f.name], made[f.name].dataType, f.dataType) if f.name in parts else F.lit(None).cast(f.dataType))
+        .alias(f.name)
+        for f in spark_type()
+    ]
+    return flat.select(*flat.columns, headers.alias("headers"), *message)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import base64_text
 from ..functions.variants import MESSAGE
 from ..session import require_utc, shared_dir
 from . import carriers
@@ -96,7 +97,7 @@ def plain(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType, T.DecimalType)):
             out.append(F.col(f.name).cast("bigint").alias(f.name))
         elif isinstance(f.dataType, T.BinaryType):
-            out.append(F.base64(f.name).alias(f.name))
+            out.append(base64_text(F.col(f.name)).alias(f.name))
         elif isinstance(f.dataType, T.StructType):
             out += [F.col(f"{f.name}.{g.name}").alias(f"{f.name}_{g.name}") for g in f.dataType]
         else:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.structs import arrow_schema
 from .sensor_schema import message_class, spark_type
 
 TOO_SHORT = "body is shorter than 4 bytes"
@@ -69,7 +70,7 @@ def split_frames(df: DataFrame, body: str = "body", archive: bool = True) -> Dat
     """One row per frame of every body: the input columns but the body, and ``member, idx, frame, error``."""
     kept = [c for c in df.columns if c != body]
     schema = T.StructType([df.schema[c] for c in kept] + list(T.StructType.fromDDL(FRAME)))
-    target = _arrow(schema)
+    target = arrow_schema(schema)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,12 +98,6 @@ def _frame_batch(others: pa.RecordBatch, source: list[int], rows: list[tuple], t
     return pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, target)], schema=target)
 
 
-def _arrow(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(schema, timezone="UTC")
-
-
 def read_bundles(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Frames of bundle files: ``path, member, idx, frame, error``."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -145,7 +140,7 @@ def decode_frames(df: DataFrame, frame: str = "frame") -> DataFrame:
     kept = [c for c in df.columns if c not in (frame, "error")]
     parts = spark_type()
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField("error", T.StringType())] + list(parts))
-    target, part_types = _arrow(schema), _arrow(parts)
+    target, part_types = arrow_schema(schema), arrow_schema(parts)
     rows = df if "error" in df.columns else df.withColumn("error", F.lit(None).cast("string"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +174,7 @@ def encode_frames(df: DataFrame, out: str = "frame") -> DataFrame:
     parts = spark_type()
     kept = [c for c in df.columns if c not in parts.names]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(out, T.BinaryType())])
-    target = _arrow(schema)
+    target = arrow_schema(schema)
 
     def fill(message, values: dict) -> None:
         for name, value in values.items():

@@ -25,9 +25,10 @@ STATE = T.StructType(
 class BundlePacker(StatefulProcessor):
     """Keeps, per key, the bytes of the open bundle, the number of bundles started and when the open one started."""
 
-    def __init__(self, order: str, max_bytes: int, mode: str, max_age_ms: int | None, columns: list[str]):
+    def __init__(self, order: str, max_bytes: int, mode: str, max_age_ms: int | None,
+                 inputs: list[str], columns: list[str]):
         self.order, self.max_bytes, self.mode, self.max_age_ms = order, max_bytes, mode, max_age_ms
-        self.columns = columns
+        self.inputs, self.columns = inputs, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -38,7 +39,9 @@ class BundlePacker(StatefulProcessor):
         carry, started, opened = self.open.get() if self.open.exists() else (0, 0, now)
         if carry and self.max_age_ms and now - opened >= self.max_age_ms:
             carry = 0
-        pdf = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+        pdf = pd.concat(list(rows))
+        pdf.columns = self.inputs  # names with a leading underscore do not reach Python as they are
+        pdf = pdf.sort_values(self.order, kind="stable")
         prefix = np.concatenate([[0], np.cumsum(pdf["_size"].to_numpy(dtype=np.int64))])
         starts = starts_from(prefix, carry, self.max_bytes, self.mode)
         opens = np.zeros(len(pdf), np.int64)
@@ -80,7 +83,7 @@ def stream_pack_bundles(df: DataFrame, keys: list[str], order: str, max_bytes: i
     schema = T.StructType([rows.schema[c] for c in columns] + [T.StructField("bundle_no", T.LongType())])
     age = int(max_age_seconds * 1000) if max_age_seconds else None
     return rows.groupBy(*keys, "worker").transformWithStateInPandas(
-        BundlePacker(order, max_bytes, mode, age, columns),
+        BundlePacker(order, max_bytes, mode, age, rows.columns, columns),
         outputStructType=schema,
         outputMode="append",
         timeMode="processingTime" if age else "none",
