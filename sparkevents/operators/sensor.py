@@ -9,7 +9,7 @@ input already reads as its default. Which columns disappear when zero or empty i
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,11 +95,18 @@ Values = dict[str, Column]
 
 @dataclass(frozen=True)
 class Options:
-    """Settings every builder sees: server name, base url of links ('' for none), fractional timestamps."""
+    """Settings every builder sees: server name, base url of links ('' for none), fractional timestamps.
+
+    ``prepared`` says that the columns all families share are already in the DataFrame (``prepare``).
+    """
 
     server: str = ""
     url: str = ""
     float_time: bool = False
+    prepared: bool = False
+
+    def shared(self, name: str, make: Callable[[], Column]) -> Column:
+        return F.col(f"_{name}") if self.prepared else make()
 
     def time(self, ticks: Column) -> Column:
         return S.unix_seconds_float(ticks) if self.float_time else S.unix_seconds(ticks)
@@ -156,35 +163,65 @@ def process_guid() -> Column:
     ).otherwise(decimal_text(header("process_guid")))
 
 
-def base_columns(o: Options, kind: Column | str, event_type: str) -> Values:
+def shared_columns(o: Options) -> Values:
+    """Values that most families use; computed once per event."""
+    guid = process_guid()
     return {
         "timestamp": o.time(header("timestamp")),
-        "cb_server": F.nullif(F.lit(o.server), F.lit("")),
-        "type": F.lit(PREFIX + kind) if isinstance(kind, str) else F.concat(F.lit(PREFIX), kind),
         "sensor_id": sensor_or_zero(),
         "computer_name": S.or_empty(F.col("env")["endpoint"]["SensorHostName"]),
+        "fork_pid": number(header("fork_pid")),
+        "pid": number(header("process_pid")),
+        "process_guid": guid,
+        "link_sensor": o.link("#/host/", sensor_or_zero().cast("string")),
+        "process_path": S.or_empty(header("process_path")),
+        "sha256": S.hex_digest(header("process_sha256")),
+        "md5": S.hex_digest(header("process_md5")),
+        "path": lookup_string(),
+    }
+
+
+def prepare(df: DataFrame, o: Options) -> tuple[DataFrame, Options]:
+    """Put the shared values into columns of their own, so that no family computes them again."""
+    return df.withColumns({f"_{k}": c for k, c in shared_columns(o).items()}), replace(o, prepared=True)
+
+
+def base_columns(o: Options, kind: Column | str, event_type: str) -> Values:
+    v = shared_columns(o) if not o.prepared else {}
+    take = lambda name: o.shared(name, lambda: v[name])
+    return {
+        "timestamp": take("timestamp"),
+        "cb_server": F.nullif(F.lit(o.server), F.lit("")),
+        "type": F.lit(PREFIX + kind) if isinstance(kind, str) else F.concat(F.lit(PREFIX), kind),
+        "sensor_id": take("sensor_id"),
+        "computer_name": take("computer_name"),
         "event_type": F.lit(event_type),
     }
 
 
 def event_message_columns(o: Options) -> Values:
+    v = shared_columns(o) if not o.prepared else {}
+    take = lambda name: o.shared(name, lambda: v[name])
     return {
-        "fork_pid": number(header("fork_pid")),
-        "pid": number(header("process_pid")),
-        "process_guid": process_guid(),
-        "link_process": o.link("#analyze/", process_guid(), "/0"),
-        "link_sensor": o.link("#/host/", sensor_or_zero().cast("string")),
-        "process_path": S.or_empty(header("process_path")),
+        "fork_pid": take("fork_pid"),
+        "pid": take("pid"),
+        "process_guid": take("process_guid"),
+        "link_process": o.link("#analyze/", take("process_guid"), "/0"),
+        "link_sensor": take("link_sensor"),
+        "process_path": take("process_path"),
     }
 
 
-def header_hash_columns() -> Values:
-    return {"sha256": S.hex_digest(header("process_sha256")), "md5": S.hex_digest(header("process_md5"))}
+def header_hash_columns(o: Options | None = None) -> Values:
+    o = o or Options()
+    return {
+        name: o.shared(name, lambda name=name: S.hex_digest(header(f"process_{name}"))) for name in ("sha256", "md5")
+    }
 
 
-def hash_or_header(own: Column, name: str) -> Column:
+def hash_or_header(own: Column, name: str, o: Options | None = None) -> Column:
     """Own hash as hex when it is not empty, else the header's."""
-    return F.when(F.octet_length(own) > 0, F.hex(own)).otherwise(S.hex_digest(header(f"process_{name}")))
+    return F.when(F.octet_length(own) > 0, F.hex(own)).otherwise(header_hash_columns(o)[name])
 
 
 def _direction(outbound: Column) -> Column:
@@ -201,7 +238,7 @@ def build_process(o: Options) -> Values:
     return {
         **base_columns(o, F.when(created, "procstart").otherwise("procend"), "proc"),
         **event_message_columns(o),
-        "path": lookup_string(),
+        "path": o.shared("path", lookup_string),
         "md5": own("md5hash", "process_md5"),
         "sha256": own("sha256hash", "process_sha256"),
         "command_line": S.utf8_text(p["commandline"]),
@@ -231,9 +268,9 @@ def build_modload(o: Options) -> Values:
     return {
         **base_columns(o, "moduleload", "modload"),
         **event_message_columns(o),
-        "path": lookup_string(),
-        "md5": hash_or_header(F.col("modload")["md5hash"], "md5"),
-        "sha256": hash_or_header(F.col("modload")["sha256hash"], "sha256"),
+        "path": o.shared("path", lookup_string),
+        "md5": hash_or_header(F.col("modload")["md5hash"], "md5", o),
+        "sha256": hash_or_header(F.col("modload")["sha256hash"], "sha256", o),
         "command_line": F.lit(""),
     }
 
@@ -244,8 +281,8 @@ def build_filemod(o: Options) -> Values:
     return {
         **base_columns(o, "filemod", "filemod"),
         **event_message_columns(o),
-        **header_hash_columns(),
-        "path": lookup_string(),
+        **header_hash_columns(o),
+        "path": o.shared("path", lookup_string),
         "tamper_sent": S.or_false(f["tamper_sent"]),
         "tamper": S.or_false(f["tamper"]),
         "file_sha256": S.hex_digest(f["sha256hash"]),
@@ -279,7 +316,7 @@ def build_netconn_v2(o: Options) -> Values:
     return {
         **base_columns(o, "netconn", "netconn"),
         **event_message_columns(o),
-        **header_hash_columns(),
+        **header_hash_columns(o),
         **_netconn_v2_columns(n),
         "ja3": S.or_empty(n["ja3"]),
         "ja3s": S.or_empty(n["ja3s"]),
@@ -305,7 +342,7 @@ def build_netconn_v1(o: Options) -> Values:
     return {
         **base_columns(o, "netconn", "netconn"),
         **event_message_columns(o),
-        **header_hash_columns(),
+        **header_hash_columns(o),
         **_netconn_v1_columns(F.col("network")),
     }
 
@@ -316,7 +353,7 @@ def build_regmod(o: Options) -> Values:
     return {
         **base_columns(o, "regmod", "regmod"),
         **event_message_columns(o),
-        **header_hash_columns(),
+        **header_hash_columns(o),
         "path": S.utf8_text(r["utf8_regpath"]),
         "action": enum_text(action, REGMOD_ACTIONS),
         "action_type": action,
@@ -346,8 +383,8 @@ def build_childproc(o: Options) -> Values:
         "tamper_sent": S.or_false(c["tamper_sent"]),
         "tamper": S.or_false(c["tamper"]),
         "path": S.or_empty(c["path"]),
-        "md5": hash_or_header(c["md5hash"], "md5"),
-        "sha256": hash_or_header(c["sha256hash"], "sha256"),
+        "md5": hash_or_header(c["md5hash"], "md5", o),
+        "sha256": hash_or_header(c["sha256hash"], "sha256", o),
         "childproc_type": enum_text(number(c["childProcType"]), CHILD_TYPES, unknown=None),
         "childproc_suppressed": suppressed,
         "childproc_commandline": F.when(suppressed, S.utf8_text(c["commandline"])).otherwise(""),
@@ -366,7 +403,7 @@ def build_crossproc(o: Options) -> Values:
     return {
         **base_columns(o, F.when(is_open, "crossprocopen").otherwise("remotethread"), "cross_process"),
         **event_message_columns(o),
-        **header_hash_columns(),
+        **header_hash_columns(o),
         "is_target": S.or_false(F.col("crossproc")["isTarget"]),
         "cross_process_type": F.when(
             is_open, enum_text(F.coalesce(opened["type"], F.lit(1)), OPEN_TYPES)
@@ -387,7 +424,7 @@ def build_emet(o: Options) -> Values:
     return {
         **base_columns(o, "emetmitigation", "emet_mitigation"),
         **event_message_columns(o),
-        **header_hash_columns(),
+        **header_hash_columns(o),
         "log_message": S.or_empty(e["actionText"]),
         "mitigation": enum_text(F.coalesce(e["action"]["mitigationType"], F.lit(1)), MITIGATIONS),
         "blocked": S.or_false(e["blocked"]),
@@ -400,7 +437,7 @@ def build_script(o: Options) -> Values:
     return {
         **base_columns(o, "filelessscriptload", "filelessscriptload"),
         **event_message_columns(o),
-        **header_hash_columns(),
+        **header_hash_columns(o),
         "script_sha256": S.or_empty(F.col("scriptexe")["sha256"]),
         "script": S.or_empty(F.col("scriptexe")["script"]),
     }
@@ -509,11 +546,18 @@ BUILDERS: dict[str, Callable[[Options], Values]] = {
 }
 
 
-def omit_empty(family: str, values: Values) -> Values:
+NEVER_EMPTY = ("process_guid", "link_process", "link_sensor")
+
+
+def omit_empty(family: str, values: Values, o: Options) -> Values:
     """Turn zero or empty values into NULL where the family leaves the key out."""
-    names = set(OMITTED[family].split())
-    empty = lambda k: F.lit(0) if k in NUMERIC_OMITTED else F.lit("")
-    return {k: F.when(c != empty(k), c) if k in names else c for k, c in values.items()}
+    out = {}
+    for k, c in values.items():
+        if k not in OMITTED[family].split() or (k in NEVER_EMPTY and o.url and family != "blocked"):
+            out[k] = c
+        else:
+            out[k] = F.when(c != (F.lit(0) if k in NUMERIC_OMITTED else F.lit("")), c)
+    return out
 
 
 # ---- older naming ----------------------------------------------------------------------------------------------------
@@ -548,7 +592,7 @@ def legacy_naming(family: str, o: Options) -> Values:
     if family not in WITHOUT_PROCESS:
         v["fork_pid"] = header("fork_pid")
         v["process_path"] = unless_empty(v["process_path"])
-    hashes = header_hash_columns()
+    hashes = header_hash_columns(o)
     if family == "process":
         p = F.col("process")
         own = lambda f: F.when(S.or_false(p["created"]), F.hex(p[f]))
@@ -682,7 +726,7 @@ def fill_env(df: DataFrame) -> DataFrame:
 
 
 def family_columns(family: str, o: Options, naming: str = "current", strict_reference_names: bool = False) -> Values:
-    values = legacy_naming(family, o) if naming == "legacy" else omit_empty(family, BUILDERS[family](o))
+    values = legacy_naming(family, o) if naming == "legacy" else omit_empty(family, BUILDERS[family](o), o)
     if strict_reference_names and naming == "current":
         values = {LITERAL_NAMES.get((family, k), k): c for k, c in values.items()}
     return values
@@ -700,8 +744,9 @@ LITERAL_NAMES = {
 def build(df: DataFrame, family: str, o: Options | None = None, naming: str = "current", keep: tuple[str, ...] = (),
           **literal: bool) -> DataFrame:
     """Typed table of one family."""
-    values = family_columns(family, o or Options(), naming, **literal)
     rows = dispatch_family(df, "_family").filter(F.col("_family") == family)
+    rows, o = prepare(rows, o or Options())
+    values = family_columns(family, o, naming, **literal)
     return rows.select(*keep, *[c.alias(k) for k, c in values.items()])
 
 
@@ -715,7 +760,7 @@ def normalize_sensor(df: DataFrame, enabled: list[str], o: Options | None = None
     """
     o = o or Options()
     rows = event_enabled_filter(df, enabled, strict_procend, strict_crossproc)
-    rows = fill_env(rows).filter(F.col("error").isNull())
+    rows, o = prepare(fill_env(rows).filter(F.col("error").isNull()), o)
     families = enabled_families(enabled, strict_crossproc)
     columns = {f: family_columns(f, o, naming, **literal) for f in families}
     if form == "json":
