@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -37,6 +39,19 @@ def require_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session, once."""
+    context = spark.sparkContext
+    if getattr(context, "_sparkevents_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="sparkevents-"), "sparkevents"), "zip", os.path.dirname(root), "sparkevents"
+    )
+    context.addPyFile(archive)
+    context._sparkevents_shipped = True
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="sparkevents-")

@@ -35,13 +35,13 @@ class BundlePacker(StatefulProcessor):
         self.open = handle.getValueState("open", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        now = timerValues.getCurrentProcessingTimeInMs() if self.max_age_ms else 0
-        carry, started, opened = self.open.get() if self.open.exists() else (0, 0, now)
-        if carry and self.max_age_ms and now - opened >= self.max_age_ms:
-            carry = 0
         pdf = pd.concat(list(rows))
         pdf.columns = self.inputs  # names with a leading underscore do not reach Python as they are
         pdf = pdf.sort_values(self.order, kind="stable")
+        now = int(pdf["_now_ms"].iloc[0])
+        carry, started, opened = self.open.get() if self.open.exists() else (0, 0, now)
+        if carry and self.max_age_ms and now - opened >= self.max_age_ms:
+            carry = 0
         prefix = np.concatenate([[0], np.cumsum(pdf["_size"].to_numpy(dtype=np.int64))])
         starts = starts_from(prefix, carry, self.max_bytes, self.mode)
         opens = np.zeros(len(pdf), np.int64)
@@ -52,17 +52,8 @@ class BundlePacker(StatefulProcessor):
             carry = 0
         opened = now if len(starts) else opened
         self.open.update((carry, int(started + len(starts)), opened))
-        if self.max_age_ms and carry:
-            self.handle.registerTimer(opened + self.max_age_ms)
         yield pdf[[*self.columns, "bundle_no"]]
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            carry, started, opened = self.open.get()
-            if carry and expiredTimerInfo.getExpiryTimeInMs() >= opened + self.max_age_ms:
-                self.open.update((0, started, opened))
-        return iter(())
-
     def close(self) -> None:
         pass
 
@@ -74,10 +65,14 @@ def stream_pack_bundles(df: DataFrame, keys: list[str], order: str, max_bytes: i
 
     Records of a key are packed in the order of arrival, by ``order`` inside one micro-batch. A busy key is spread over
     ``workers`` packers, each with bundles of its own, numbered by column ``worker``. Uses the RocksDB state store.
+
+    A bundle older than ``max_age_seconds`` takes no more records. Its age is looked at when the next record of its key
+    arrives, by the clock of the micro-batch, so no timers are kept and a run over the available input comes to an end.
     """
     worker = F.pmod(F.xxhash64(order), F.lit(workers)).cast("int")
     rows = df.filter(F.length(text) > 0).select(
-        "*", F.octet_length(text).cast("bigint").alias("_size"), worker.alias("worker")
+        "*", F.octet_length(text).cast("bigint").alias("_size"), F.unix_millis(F.current_timestamp()).alias("_now_ms"),
+        worker.alias("worker"),
     )
     columns = [*df.columns, "worker"]
     schema = T.StructType([rows.schema[c] for c in columns] + [T.StructField("bundle_no", T.LongType())])
@@ -86,7 +81,7 @@ def stream_pack_bundles(df: DataFrame, keys: list[str], order: str, max_bytes: i
         BundlePacker(order, max_bytes, mode, age, rows.columns, columns),
         outputStructType=schema,
         outputMode="append",
-        timeMode="processingTime" if age else "none",
+        timeMode="none",
     )
 
 

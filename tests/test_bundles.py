@@ -85,9 +85,9 @@ def test_time_order_column(spark):
 
 def test_running_sums_over_segments(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("n"))
-    whole = ordered.number_rows(df, ["k"], "n")
-    cut = ordered.number_rows(df, ["k"], "n", rows_per_segment=9)
-    assert rows(whole) == rows(cut) and max(r["n"] for r in whole.collect()) == 33
+    whole = ordered.number_rows(df, ["k"], "n", "pos")
+    cut = ordered.number_rows(df, ["k"], "n", "pos", rows_per_segment=9)
+    assert rows(whole) == rows(cut) and max(r["pos"] for r in whole.collect()) == 33
 
 
 def test_segments_are_balanced(spark):

@@ -90,13 +90,12 @@ def test_diff_of_missing_lines(spark):
     assert rows(diff.only_in_new(gold, new, ["file", "line"])) == [("f", 9)]
 
 
-def answer(body: bytes, headers: dict) -> tuple:
-    if b"boom" in body:
-        raise OSError("no route")
-    return (200, None) if b"ok" in body else (400, "bad")
-
-
 def test_delivery_rounds(spark, tmp_path):
+    def answer(body: bytes, headers: dict) -> tuple:
+        if b"boom" in body:
+            raise OSError("no route")
+        return (200, None) if b"ok" in body else (400, "bad")
+
     ledger = str(tmp_path / "ledger")
     bundles = spark.createDataFrame([("a", "ok"), ("b", "bad"), ("c", "boom")], "bundle_id string, payload string")
     first = delivery.deliver_pending(spark, bundles, ledger, answer)
