@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variants as V
+from ..functions.scalars import let
 
 MAX_DEPTH = 8
 
@@ -18,17 +19,20 @@ VALUE = "value"
 
 def json_type(v: Column) -> Column:
     """Type of a value as the comparison sees it: integers and fractions differ, all objects are alike."""
-    k = V.kind(v)
-    return (
-        F.when(V.is_object(v), "object")
-        .when(V.is_array(v), "array")
-        .when(k == "VOID", "null")
-        .when(k.startswith("DECIMAL") & ~k.endswith(",0)"), "float")
-        .when(k.isin("DOUBLE", "FLOAT"), "float")
-        .when(k.startswith("DECIMAL") | k.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "int")
-        .when(k == "BOOLEAN", "bool")
-        .otherwise("string")
-    )
+    def name(k: Column) -> Column:
+        return (
+            F.when(k.startswith("OBJECT"), "object")
+            .when(k.startswith("ARRAY"), "array")
+            .when(k == "STRING", "string")
+            .when(k == "BIGINT", "int")
+            .when(k == "BOOLEAN", "bool")
+            .when(k == "VOID", "null")
+            .when(k.isin("DOUBLE", "FLOAT") | (k.startswith("DECIMAL") & ~k.endswith(",0)")), "float")
+            .when(k.startswith("DECIMAL"), "int")
+            .otherwise("string")
+        )
+
+    return let(V.kind(v), name)
 
 
 def _step(key: Column) -> Column:
@@ -59,8 +63,9 @@ def with_nodes(df: DataFrame, json: str, out: str, max_depth: int = MAX_DEPTH) -
     nothing in it goes unnoticed. Everything happens inside the row, one level after the other.
     """
     level = lambda d: f"_{out}_{d}"
-    root = F.try_parse_json(json)
-    df = df.withColumn(level(0), F.when(root.isNotNull(), F.array(_node(F.lit(""), root))))
+    root = f"_{out}_root"
+    df = df.withColumn(root, F.try_parse_json(json))
+    df = df.withColumn(level(0), F.when(F.col(root).isNotNull(), F.array(_node(F.lit(""), F.col(root)))))
     for d in range(max_depth):
         inner = F.filter(level(d), lambda n: n["type"].isin("object", "array"))
         df = df.withColumn(level(d + 1), F.flatten(F.transform(inner, _children)))
@@ -78,7 +83,7 @@ def with_nodes(df: DataFrame, json: str, out: str, max_depth: int = MAX_DEPTH) -
             ),
         )
         nodes = entries if nodes is None else F.concat(nodes, entries)
-    return df.withColumn(out, F.map_from_entries(nodes)).drop(*[level(d) for d in range(max_depth + 1)])
+    return df.withColumn(out, F.map_from_entries(nodes)).drop(root, *[level(d) for d in range(max_depth + 1)])
 
 
 def _problem(g: Column, n: Column) -> Column:
@@ -99,20 +104,27 @@ def diff_lines(pairs: DataFrame, keys: list[str], gold: str = "gold", new: str =
     row. Only the outermost problem is reported: below a changed type, a missing or extra node, or an array of another
     length everything differs anyway.
     """
-    changed = pairs.filter(~F.col(gold).eqNullSafe(F.col(new)))
-    both = changed.filter(F.col(gold).isNotNull() & F.col(new).isNotNull()).select(*keys, gold, new)
-    one_sided = changed.filter(F.col(gold).isNull() | F.col(new).isNull()).select(
-        *keys, F.lit("").alias("path"), F.when(F.col(new).isNull(), MISSING).otherwise(EXTRA).alias("problem"),
-        F.col(gold).alias("gold_value"), F.col(new).alias("new_value"),
+    changed = pairs.filter(~F.col(gold).eqNullSafe(F.col(new))).select(*keys, gold, new)
+    whole = lambda c: F.when(
+        F.col(c).isNotNull(),
+        F.struct(F.lit("line").alias("type"), F.lit(None).cast("int").alias("size"), F.col(c).alias("value")),
     )
-    rows = with_nodes(with_nodes(both, gold, "_g", max_depth), new, "_n", max_depth)
+    one_sided = F.array(
+        F.struct(
+            F.lit("").alias("path"), F.when(F.col(new).isNull(), MISSING).otherwise(EXTRA).alias("problem"),
+            whole(gold).alias("g"), whole(new).alias("n"),
+        )
+    )
+    rows = with_nodes(with_nodes(changed, gold, "_g", max_depth), new, "_n", max_depth)
     g, n = F.col("_g"), F.col("_n")
     shown = lambda problem, node: F.when(problem == LENGTH, node["size"].cast("string")).otherwise(node["value"])
     compared = F.transform(
         F.array_distinct(F.concat(F.map_keys(g), F.map_keys(n))),
         lambda p: F.struct(p.alias("path"), _problem(g[p], n[p]).alias("problem"), g[p].alias("g"), n[p].alias("n")),
     )
-    rows = rows.select(*keys, F.filter(compared, lambda d: d["problem"].isNotNull()).alias("_d"))
+    found = F.filter(compared, lambda d: d["problem"].isNotNull())
+    missing_side = F.col(gold).isNull() | F.col(new).isNull()
+    rows = rows.select(*keys, F.when(missing_side, one_sided).otherwise(found).alias("_d"))
     closed = F.transform(F.filter("_d", lambda d: d["problem"] != VALUE), lambda d: d["path"])
     rows = rows.withColumn("_closed", closed)
     below = lambda path: F.exists(
@@ -124,7 +136,7 @@ def diff_lines(pairs: DataFrame, keys: list[str], gold: str = "gold", new: str =
     return found.select(
         *keys, "d.path", "d.problem", shown(problem, F.col("d.g")).alias("gold_value"),
         shown(problem, F.col("d.n")).alias("new_value"),
-    ).unionByName(one_sided)
+    )
 
 
 def diff_tables(gold: DataFrame, new: DataFrame, keys: list[str], value: str = "value", max_depth: int = MAX_DEPTH) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variants as V
+from ..functions.scalars import let
 
 # Fixed values of the LEEF header and of the security product's normalized network field names.
 LEEF_VERSION = "1.0"
@@ -70,11 +71,15 @@ def leef_render(v: Column, list_style: str = "spaced") -> Column:
     Lists print as ``[a b]``; ``list_style='json'`` prints them as JSON instead.
     """
     as_list = F.to_json(v) if list_style == "json" else _list_text(v, 1)
-    return (
-        F.when(V.is_object(v), F.regexp_replace(F.to_json(v), r"^\{\}$", ""))
-        .when(V.is_array(v), as_list)
-        .otherwise(leef_escape(v.cast("string")))
-    )
+
+    def render(kind: Column) -> Column:
+        return (
+            F.when(kind.startswith("OBJECT"), F.regexp_replace(F.to_json(v), r"^\{\}$", ""))
+            .when(kind.startswith("ARRAY"), as_list)
+            .otherwise(leef_escape(v.cast("string")))
+        )
+
+    return let(V.kind(v), render)
 
 
 def _sole_doc(m: Column) -> Column:
@@ -140,7 +145,9 @@ def leef_header(m: Column, vendor: str = VENDOR, product: str = PRODUCT) -> Colu
 def leef_line(m: Column, list_style: str = "spaced", vendor: str = VENDOR, product: str = PRODUCT) -> Column:
     """Header and tab-joined ``key=value`` pairs in key order; JSON nulls are left out."""
     keys = F.filter(key_sort(m), lambda k: ~F.is_variant_null(m[k]))
-    pairs = F.transform(keys, lambda k: F.concat(k, F.lit("="), leef_render(m[k], list_style)))
+    pairs = F.transform(
+        keys, lambda k: F.concat(k, F.lit("="), let(m[k], lambda v: leef_render(v, list_style)))
+    )
     return F.concat(leef_header(m, vendor, product), F.array_join(pairs, "\t"))
 
 

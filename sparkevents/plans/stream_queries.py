@@ -15,11 +15,10 @@ from .registry import QUERIES, Tables, query
 
 
 def streamed(t: Tables, table: str) -> DataFrame:
-    """A driver table as a file stream."""
+    """A driver table as a file stream. It is one small file, so its rows are spread over the cores."""
     schema = t.spark.read.parquet(f"{t.sf_dir}/{table}.parquet").schema
-    return (
-        t.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.sf_dir)
-    )
+    rows = t.spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(t.sf_dir)
+    return rows.repartition(t.spark.sparkContext.defaultParallelism)
 
 
 def streamed_hits(t: Tables) -> DataFrame:
