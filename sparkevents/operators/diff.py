@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variants as V
-from ..functions.scalars import let
 
 MAX_DEPTH = 8
 
@@ -17,22 +16,19 @@ LENGTH = "length"
 VALUE = "value"
 
 
-def json_type(v: Column) -> Column:
-    """Type of a value as the comparison sees it: integers and fractions differ, all objects are alike."""
-    def name(k: Column) -> Column:
-        return (
-            F.when(k.startswith("OBJECT"), "object")
-            .when(k.startswith("ARRAY"), "array")
-            .when(k == "STRING", "string")
-            .when(k == "BIGINT", "int")
-            .when(k == "BOOLEAN", "bool")
-            .when(k == "VOID", "null")
-            .when(k.isin("DOUBLE", "FLOAT") | (k.startswith("DECIMAL") & ~k.endswith(",0)")), "float")
-            .when(k.startswith("DECIMAL"), "int")
-            .otherwise("string")
-        )
-
-    return let(V.kind(v), name)
+def json_type(kind: Column) -> Column:
+    """Type the comparison sees for a VARIANT kind: integers and fractions differ, all objects are alike."""
+    return (
+        F.when(kind.startswith("OBJECT"), "object")
+        .when(kind.startswith("ARRAY"), "array")
+        .when(kind == "STRING", "string")
+        .when(kind == "BIGINT", "int")
+        .when(kind == "BOOLEAN", "bool")
+        .when(kind == "VOID", "null")
+        .when(kind.isin("DOUBLE", "FLOAT") | (kind.startswith("DECIMAL") & ~kind.endswith(",0)")), "float")
+        .when(kind.startswith("DECIMAL"), "int")
+        .otherwise("string")
+    )
 
 
 def _step(key: Column) -> Column:
@@ -42,18 +38,18 @@ def _step(key: Column) -> Column:
 
 def _children(node: Column) -> Column:
     members = F.transform(
-        F.map_entries(V.as_message(F.when(node["type"] == "object", node["v"]))),
+        F.map_entries(V.as_message(F.when(node["kind"].startswith("OBJECT"), node["v"]))),
         lambda e: _node(F.concat(node["path"], _step(e["key"])), e["value"]),
     )
     items = F.transform(
-        F.when(node["type"] == "array", node["v"]).try_cast("array<variant>"),
+        F.when(node["kind"].startswith("ARRAY"), node["v"]).try_cast("array<variant>"),
         lambda x, i: _node(F.concat(node["path"], F.lit("["), i.cast("string"), F.lit("]")), x),
     )
     return F.coalesce(members, items)
 
 
 def _node(path: Column, v: Column) -> Column:
-    return F.struct(path.alias("path"), json_type(v).alias("type"), v.alias("v"))
+    return F.struct(path.alias("path"), V.kind(v).alias("kind"), v.alias("v"))
 
 
 def with_nodes(df: DataFrame, json: str, out: str, max_depth: int = MAX_DEPTH) -> DataFrame:
@@ -67,22 +63,25 @@ def with_nodes(df: DataFrame, json: str, out: str, max_depth: int = MAX_DEPTH) -
     df = df.withColumn(root, F.try_parse_json(json))
     df = df.withColumn(level(0), F.when(F.col(root).isNotNull(), F.array(_node(F.lit(""), F.col(root)))))
     for d in range(max_depth):
-        inner = F.filter(level(d), lambda n: n["type"].isin("object", "array"))
+        inner = F.filter(level(d), lambda n: n["kind"].startswith("OBJECT") | n["kind"].startswith("ARRAY"))
         df = df.withColumn(level(d + 1), F.flatten(F.transform(inner, _children)))
-    nodes = None
-    for d in range(max_depth + 1):
-        text = lambda n, d=d: F.when(
-            n["type"].isin("object", "array"), F.to_json(n["v"]) if d == max_depth else F.lit(None).cast("string")
-        ).otherwise(n["v"].cast("string"))
-        size = lambda n: F.when(n["type"] == "array", F.size(n["v"].try_cast("array<variant>")))
-        entries = F.transform(
-            level(d),
-            lambda n: F.struct(
-                n["path"].alias("key"),
-                F.struct(n["type"].alias("type"), size(n).alias("size"), text(n).alias("value")).alias("value"),
-            ),
-        )
-        nodes = entries if nodes is None else F.concat(nodes, entries)
+    deepest = F.transform(
+        level(max_depth), lambda n: F.struct(n["path"].alias("path"), n["kind"].alias("kind"), n["v"].alias("v"), F.lit(True).alias("cut"))
+    )
+    upper = F.transform(
+        F.concat(*[F.col(level(d)) for d in range(max_depth)]),
+        lambda n: F.struct(n["path"].alias("path"), n["kind"].alias("kind"), n["v"].alias("v"), F.lit(False).alias("cut")),
+    )
+    inner = lambda n: n["kind"].startswith("OBJECT") | n["kind"].startswith("ARRAY")
+    text = lambda n: F.when(~inner(n), n["v"].cast("string")).when(n["cut"], F.to_json(n["v"]))
+    size = lambda n: F.when(n["kind"].startswith("ARRAY"), F.size(n["v"].try_cast("array<variant>")))
+    nodes = F.transform(
+        F.concat(upper, deepest),
+        lambda n: F.struct(
+            n["path"].alias("key"),
+            F.struct(json_type(n["kind"]).alias("type"), size(n).alias("size"), text(n).alias("value")).alias("value"),
+        ),
+    )
     return df.withColumn(out, F.map_from_entries(nodes)).drop(root, *[level(d) for d in range(max_depth + 1)])
 
 
