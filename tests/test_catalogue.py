@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from sparkevents.plans import catalogue
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -14,7 +15,7 @@ TABLES = (
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalogue.callables(), catalogue.oracles()
 
 
 @pytest.fixture(scope="module")
