@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets
+from . import mixing, secrets, simhash
 from .common import table
 
 
@@ -22,7 +22,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(docs, model))
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    shown = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_simhash_dedup": op5_simhash_dedup,
     "op9_source_mixing": op9_source_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
