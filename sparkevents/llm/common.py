@@ -10,8 +10,18 @@ from pyspark.sql import functions as F
 from ..session import shared_dir, ship
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows in an Arrow batch: texts are long, and a Python worker holds a few batches at a time.
+BATCH_ROWS = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Send the package to the workers and keep their batches small."""
     ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

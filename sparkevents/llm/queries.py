@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, secrets, simhash
+from . import mixing, packing, secrets, simhash
 from .common import table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", *[f"mix.{c}" for c in ("size", "source_size", "target", "taken")])
@@ -29,6 +33,7 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op9_source_mixing": op9_source_mixing,
     "op10_secret_scan": op10_secret_scan,
