@@ -7,14 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, secrets, simhash
-from .common import table
+from . import mixing, packing, secrets, simhash, toxicity
+from .common import held_out, learnable, table
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), learnable(3, 1))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    predicted = F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0)
+    return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", *[f"mix.{c}" for c in ("size", "source_size", "target", "taken")])
@@ -35,6 +43,7 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_toxicity": op6_toxicity,
     "op9_source_mixing": op9_source_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
