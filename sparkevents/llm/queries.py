@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, secrets, simhash, toxicity
+from . import langid, mixing, packing, secrets, simhash, toxicity
 from .common import held_out, learnable, table
 
 
@@ -15,6 +15,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.train(docs, learnable(3, 1)))
+    return found.select("doc_id", held_out(3, 1).alias("held_out"), "language.lang_pred", "language.score")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), learnable(3, 1))
@@ -42,6 +48,7 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_language_id": op3_language_id,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_toxicity": op6_toxicity,
     "op9_source_mixing": op9_source_mixing,
