@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, secrets, simhash, toxicity
+from . import langid, mixing, packing, quality, secrets, simhash, toxicity
 from .common import held_out, learnable, table
 
 
@@ -21,6 +21,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(3, 1).alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.scored(docs, labels, learnable(5, 0), held_out(5, 1))
+    predicted = F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0)
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), learnable(3, 1))
@@ -49,6 +56,7 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_language_id": op3_language_id,
+    "op4_quality": op4_quality,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_toxicity": op6_toxicity,
     "op9_source_mixing": op9_source_mixing,
