@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from ..session import shared_dir, ship
 
 
-#: Rows in an Arrow batch: texts are long, and a Python worker holds a few batches at a time.
-BATCH_ROWS = 1000
+#: Rows and bytes in an Arrow batch: texts are long, and a Python worker holds a few batches at a time.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Send the package to the workers and keep their batches small."""
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
