@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, quality, secrets, simhash, topk, toxicity
+from . import embdedup, langid, mixing, packing, quality, secrets, simhash, topk, toxicity
 from .common import held_out, learnable, table
 
 
@@ -54,6 +54,29 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS u, vec_id AS v FROM embeddings
+  UNION
+  SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u
+), n AS (SELECT u, count(*) AS n_links FROM links GROUP BY u)
+SELECT reach.u AS vec_id, coalesce(any_value(n_links), 0)::BIGINT AS n_links, min(reach.v) AS component_id,
+       min(reach.v) = reach.u AS kept
+FROM reach LEFT JOIN n ON n.u = reach.u GROUP BY reach.u
+"""
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", *[f"mix.{c}" for c in ("size", "source_size", "target", "taken")])
@@ -78,8 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op9_source_mixing": op9_source_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLES: dict[str, str] = {"op1_exact_top_k": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_exact_top_k": OP1_SQL, "op7_embedding_dedup": OP7_SQL}
