@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embdedup, langid, mixing, packing, quality, secrets, simhash, topk, toxicity
+from . import embdedup, langid, lm, mixing, packing, quality, secrets, simhash, topk, toxicity
 from .common import held_out, learnable, table
 
 
@@ -77,6 +77,10 @@ FROM reach LEFT JOIN n ON n.u = reach.u GROUP BY reach.u
 """
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), learnable(7, 2), held_out(7, 2))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", *[f"mix.{c}" for c in ("size", "source_size", "target", "taken")])
@@ -102,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash_dedup": op5_simhash_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_source_mixing": op9_source_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
