@@ -122,7 +122,8 @@ def train(
     known = known.select(F.col(key).alias("key_"), F.col(lang).alias("lang_"), F.col(text).alias("text_"))
     sizes = docs.filter(learn & F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang_")).count()
     limit = F.least(F.lit(1.0), F.lit(float(rows)) / F.col("count")) * F.lit(float(1 << 30))
-    picked = known.join(sizes.select("lang_", limit.alias("limit_")), "lang_")
+    # one row per language: the texts stay where they are
+    picked = known.join(F.broadcast(sizes.select("lang_", limit.alias("limit_"))), "lang_")
     picked = picked.filter(F.pmod(F.xxhash64("key_", F.lit(seed)), F.lit(1 << 30)) < F.col("limit_"))
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
