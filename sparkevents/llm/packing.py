@@ -7,6 +7,7 @@ fits no open bin and no more may be opened, the fullest one closes. Pieces arriv
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +27,7 @@ OPEN_BINS = 2048
 WINDOW_ROWS = 8192
 WINDOW_CHARS = 6_000_000
 
-PIECES = "doc_id long, piece int, start long, length long, ids array<int>, sequence_id long, offset long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
 class OpenBins:
@@ -81,8 +82,12 @@ def pack(
     end: int = END,
     open_bins: int = OPEN_BINS,
     vocabulary: str | None = None,
+    with_ids: bool = True,
 ) -> DataFrame:
-    """One row per piece: ``doc_id, piece, start, length, ids, sequence_id, offset``.
+    """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids``.
+
+    ``ids_crc32`` is the CRC-32 of the ids as unsigned little-endian 32-bit numbers; ``with_ids=False`` leaves the ids
+    themselves in the task.
 
     A null text is empty; every document has at least its end id. Repeated rows are packed each; other columns are left
     out. A sequence holds documents of one partition, so its number is the partition's and a running one, and a task
@@ -102,21 +107,21 @@ def pack(
             bin_, offset = np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int64)
             for i in np.argsort(-length, kind="stable").tolist():
                 bin_[i], offset[i] = bins.place(int(length[i]))
-            bounds = np.append(begin[doc] + start, len(ids)).astype(np.int32)  # pieces lie in the order of the ids
-            yield pa.RecordBatch.from_arrays(
-                [
-                    keys.take(pa.array(doc)),
-                    pa.array(piece, pa.int32()),
-                    pa.array(start, pa.int64()),
-                    pa.array(length, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(ids.astype(np.int32))),
-                    pa.array(task + bin_),
-                    pa.array(offset),
-                ],
-                names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"],
-            )
-
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text)).mapInArrow(place, PIECES)
+            bounds = np.append(begin[doc] + start, len(ids))  # pieces lie in the order of the ids
+            raw = memoryview(ids.astype("<u4").tobytes())
+            crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in itertools.pairwise(bounds.tolist())]
+            columns = [
+                keys.take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
+                pa.array(task + bin_), pa.array(offset),
+            ]
+            if with_ids:
+                flat = pa.array(ids.astype(np.int32))
+                columns.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), flat))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = PIECES + ", ids array<int>" * with_ids
+    names = [part.split()[0] for part in schema.split(", ")]
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text)).mapInArrow(place, schema)
 
 
 def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
@@ -137,17 +142,3 @@ def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[
             held += size
     if texts:
         yield pa.concat_arrays(keys), texts
-
-
-def digests(pieces: DataFrame) -> DataFrame:
-    """The pieces with the CRC-32 of their ids, as unsigned little-endian 32-bit numbers, in place of the ids."""
-
-    @F.arrow_udf("long")
-    def checksum(ids: pa.Array) -> pa.Array:
-        flat = ids.flatten().to_numpy().astype("<u4")
-        ends = np.cumsum(ids.value_lengths().to_numpy())
-        crc = [zlib.crc32(flat[a:b]) for a, b in zip(ends - np.diff(ends, prepend=0), ends, strict=True)]
-        return pa.array(crc, pa.int64())
-
-    shown = [c for c in pieces.columns if c != "ids"]
-    return pieces.withColumn("ids_crc32", checksum("ids")).select(*shown[:4], "ids_crc32", *shown[4:])

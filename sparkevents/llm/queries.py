@@ -30,7 +30,7 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
+    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

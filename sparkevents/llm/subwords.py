@@ -54,8 +54,9 @@ class Encoder:
         raw = [t.encode() for t in texts]
         begin = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(x) for x in raw], out=begin[1:])
-        starts = stretches(np.frombuffer(b"".join(raw), np.uint8), begin)
-        data = pa.py_buffer(b"".join(raw))
+        whole = b"".join(raw)
+        starts = stretches(np.frombuffer(whole, np.uint8), begin)
+        data = pa.py_buffer(whole)
         offsets = np.append(starts, begin[-1]).astype(np.int32)
         found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), data]).dictionary_encode()
         numbers = self.numbers(found.dictionary.to_pylist())
