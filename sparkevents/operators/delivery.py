@@ -81,11 +81,37 @@ def deliver_pending(spark: SparkSession, bundles: DataFrame, ledger_path: str, p
     return read_ledger(spark, ledger_path)
 
 
+def deliver_batch(spark: SparkSession, bundles: DataFrame, ledger_path: str, post_fn: PostFn, number: int, **options) -> None:
+    """One micro-batch: send its bundles and those that the batch before left to be tried again.
+
+    The payloads to be tried again lie in ``<ledger_path>-retry/<number>``; a batch reads its predecessor's and writes its
+    own, so each is read once and a batch that runs again finds what it found before.
+    """
+    queue = lambda n: f"{ledger_path}-retry/{n}"
+    keyed = bundles.withColumn("bundle_id", F.col("bundle_id").cast("string"))
+    left = read_if_there(spark, queue(number - 1), "bundle_id string, payload string")
+    todo = pending(keyed.select("bundle_id", "payload"), read_ledger(spark, ledger_path)).unionByName(left)
+    todo = todo.dropDuplicates(["bundle_id"])
+    attempts = f"{ledger_path}-attempts/{number}"
+    deliver(todo, post_fn, **options).write.mode("overwrite").parquet(attempts)
+    outcomes = spark.read.schema(LEDGER).parquet(attempts)
+    again = outcomes.filter(F.col("outcome") == RETRY).select("bundle_id")
+    todo.join(again, "bundle_id", "left_semi").write.mode("overwrite").parquet(queue(number))
+    outcomes.write.mode("append").parquet(ledger_path)
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Ledger rows written so far; empty before the first round."""
+    return read_if_there(spark, path, LEDGER)
+
+
+def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Parquet rows below the path; none if there is no such path. Any other fault is raised."""
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.schema(LEDGER).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], LEDGER)
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

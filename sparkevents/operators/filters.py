@@ -27,8 +27,6 @@ SUBSCRIPTION_GROUPS = {
 }
 
 RAW_EXCHANGE = "api.rawsensordata"
-BROADCAST_PATTERNS = 10_000
-REGEX_PATTERNS = 1_000
 
 
 def parse_subscriptions(conf: dict[str, str]) -> list[str]:
@@ -78,24 +76,16 @@ def subscribe_filter(df: DataFrame, patterns: list[str]) -> DataFrame:
 
 
 def subscribe_join(df: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Semi join of messages to a pattern table (``pattern_table``).
+    """Semi join of messages to a pattern table (``pattern_table``), in one pass over the messages.
 
-    Patterns with a literal first word are an equi join on that word with the regex as residual condition; it is
-    broadcast only when the pattern count is small. The few that start with a wildcard go into one alternation.
+    Patterns with a literal first word are an equi join on that word with the regex as residual condition. Those that
+    start with a wildcard concern every message and are tested one by one.
     """
-    n = patterns.count()
-    wild = patterns.filter(F.col("first_word").isin("*", "#")).limit(REGEX_PATTERNS + 1).collect()
-    if len(wild) > REGEX_PATTERNS:
-        raise ValueError(f"more than {REGEX_PATTERNS} patterns start with a wildcard")
-    worded = patterns.filter(~F.col("first_word").isin("*", "#"))
-    worded = F.broadcast(worded) if n <= BROADCAST_PATTERNS else worded
-    rk = F.col("routing_key")
-    first = F.substring_index(rk, ".", 1)
-    on = (first == F.col("first_word")) & F.expr("routing_key rlike regex")
-    if not wild:
-        return df.join(worded, on, "left_semi")
-    always = rk.rlike("|".join(r["regex"] for r in wild))
-    return df.filter(always).unionByName(df.filter(~always).join(worded, on, "left_semi"))
+    key = F.col("routing_key").outer()
+    matches = F.regexp_like(key, F.col("regex"))
+    wild = F.col("first_word").isin("*", "#")
+    worded = patterns.where(~wild & (F.col("first_word") == F.substring_index(key, ".", 1)) & matches)
+    return df.where(worded.exists() | patterns.where(wild & matches).exists())
 
 
 def dispatch_content_type(df: DataFrame, raw_exchange: str = RAW_EXCHANGE, out: str = "route") -> DataFrame:
@@ -119,11 +109,13 @@ def parse_json_body(df: DataFrame) -> DataFrame:
     """Body text to message map; a malformed or non-object body becomes an error row instead of failing the job."""
     msg = F.from_json(F.col("body").cast("string"), MESSAGE)
     previous = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
-    parsed = df.withColumn("msg", F.when(previous.isNull(), msg))
+    # a generator of one row keeps filters on the result above it, so the body is parsed once
+    one = F.explode(F.array(F.struct(F.when(previous.isNull(), msg).alias("msg")))).alias("_parsed")
+    parsed = df.select(*[c for c in df.columns if c != "msg"], one)
     return parsed.select(
         *[c for c in df.columns if c not in ("error", "msg")],
-        "msg",
-        F.coalesce(previous, F.when(F.col("msg").isNull(), F.lit("body is not a JSON object"))).alias("error"),
+        F.col("_parsed.msg").alias("msg"),
+        F.coalesce(previous, F.when(F.col("_parsed.msg").isNull(), F.lit("body is not a JSON object"))).alias("error"),
     )
 
 

@@ -264,22 +264,29 @@ def explode_docs(df: DataFrame, fix: Callable[[DataFrame], DataFrame] | None = N
     """One row per element of ``docs``; each keeps the root fields and holds that element alone in ``docs``.
 
     An empty array gives no row, a message without the key gives one. ``fix`` rewrites the documents, which it finds
-    in column ``_doc``. ``doc_pos`` is the element's position, NULL without ``docs``.
+    in column ``_doc``. ``doc_pos`` is the element's position, NULL without ``docs``. A message whose ``docs`` is no
+    array gives one row, an element that is no object its row, without ``msg`` and with the reason in ``error``.
     """
+    docs = F.col("msg")["docs"]
     has_docs = F.map_contains_key(F.col("msg"), "docs")
-    elements = F.when(has_docs, F.col("msg")["docs"].try_cast("array<variant>")).otherwise(
-        F.array(F.lit(None).cast("variant"))
-    )
-    rows = df.select("*", F.posexplode(elements).alias("doc_pos", "_doc")).withColumn(
-        "_doc", V.as_message(F.col("_doc"))
-    )
+    is_array = has_docs & F.coalesce(V.kind(docs).startswith("ARRAY"), F.lit(False))
+    elements = F.when(is_array, docs.try_cast("array<variant>")).otherwise(F.array(F.lit(None).cast("variant")))
+    kinds = df.withColumns({"_bad_docs": has_docs & ~is_array, "_in_array": is_array})
+    rows = kinds.select("*", F.posexplode(elements).alias("doc_pos", "_element"))
+    rows = rows.withColumn("_there", F.coalesce(V.is_object(F.col("_element")), F.lit(False)))
+    rows = rows.withColumn("_doc", F.when(F.col("_there"), V.as_message(F.col("_element"))))
     rows = (fix(rows) if fix else rows).withColumn("_wrapped", V.as_object(F.array("_doc")))
-    there = F.col("_doc").isNotNull()
+    there = F.col("_there")
     one = V.put(F.col("msg"), F.create_map(F.lit("docs"), F.col("_wrapped")))
+    previous = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+    wrong = F.when(F.col("_bad_docs"), "docs is not an array").when(
+        F.col("_in_array") & ~there, "element of docs is not an object"
+    )
     return rows.select(
-        *[c for c in df.columns if c != "msg"],
-        F.when(there, F.col("doc_pos")).alias("doc_pos"),
-        F.when(there, one).otherwise(F.col("msg")).alias("msg"),
+        *[c for c in df.columns if c not in ("msg", "error")],
+        F.when(F.col("_in_array"), F.col("doc_pos")).alias("doc_pos"),
+        F.when(wrong.isNotNull(), None).when(there, one).otherwise(F.col("msg")).alias("msg"),
+        F.coalesce(previous, wrong).alias("error"),
     )
 
 

@@ -20,7 +20,8 @@ from ..sources.sensor_schema import spark_type
 class Spark:
     us = "unix_micros(cast(ts as timestamp))"
     order_us = "unix_micros(cast(o_orderdate as timestamp))"
-    doc_range = "sequence(1, cast(o_orderkey % 5 as int))"
+    lines = "explode(split(text, chr(10)))"
+    in_order = staticmethod(lambda x, by: f"listagg({x}, ',') WITHIN GROUP (ORDER BY {by})")
     md5 = staticmethod(lambda x: f"md5({x})")
     sha256 = staticmethod(lambda x: f"sha2({x}, 256)")
     div = staticmethod(lambda a, b: f"({a} div {b})")
@@ -33,7 +34,8 @@ class Spark:
 class Duck:
     us = "epoch_us(ts)"
     order_us = "epoch_us(o_orderdate)"
-    doc_range = "range(1, cast(o_orderkey % 5 as int) + 1)"
+    lines = "unnest(string_split(text, chr(10)))"
+    in_order = staticmethod(lambda x, by: f"string_agg({x}, ',' ORDER BY {by})")
     md5 = staticmethod(lambda x: f"md5({x})")
     sha256 = staticmethod(lambda x: f"sha256({x})")
     div = staticmethod(lambda a, b: f"({a} // {b})")
@@ -129,31 +131,34 @@ def bus_bad(d: Dialect) -> str:
 
 
 def hit_docs(d: Dialect) -> str:
-    """One hit per order with 0 to 4 sub-documents; every tenth order has no ``docs`` at all."""
+    """One hit per order with a sub-document per line item; orders without items have an empty ``docs``, every tenth order
+    has none at all."""
     doc = (
-        "'{\"n\":' || cast(i as string) || ',\"hostname\":\"h' || cast(o_custkey as string) || '\",\"md5\":\"' || "
-        + d.md5("cast(o_orderkey + i as string)")
-        + " || '\",\"comms_ip\":' || cast(o_orderkey * i as string) || ',\"cb_version\":' || cast(500 + i as string)"
-        " || ',\"unique_id\":\"' || printf('%08x-0000-0000-0000-000000000001', cast(o_custkey as bigint)) || '\"}'"
+        "'{\"n\":' || cast(l_linenumber as string) || ',\"hostname\":\"h' || cast(l_suppkey as string) || '\",\"md5\":\"' || "
+        + d.md5("cast(l_partkey as string)")
+        + " || '\",\"comms_ip\":' || cast(l_orderkey * l_linenumber as string) || ',\"cb_version\":'"
+        " || cast(500 + l_linenumber as string)"
+        " || ',\"unique_id\":\"' || printf('%08x-0000-0000-0000-000000000001', cast(l_suppkey as bigint)) || '\"}'"
     )
-    docs = f"{d.join}({d.each}({d.doc_range}, {d.lam('i', doc)}), ',')"
-    docs = f"CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE {docs} END"
     return f"""
-    SELECT o_orderkey, o_custkey, cast(CASE WHEN o_orderkey % 10 = 3 THEN -1 ELSE o_orderkey % 5 END as bigint) AS n_docs,
+    SELECT o_orderkey, o_custkey, cast(CASE WHEN o_orderkey % 10 = 3 THEN -1 ELSE coalesce(n, 0) END as bigint) AS n_docs,
            CASE WHEN o_orderkey % 4 = 0 THEN 'feed.7.storage.hit.process' ELSE 'watchlist.hit.process' END AS routing_key,
            '{{"event_timestamp":' || cast({d.div(d.order_us, 1000000)} as string) || ',"server_name":"s' ||
-           o_orderstatus || '","cb_version":"5.1"' || CASE WHEN o_orderkey % 10 = 3 THEN '' ELSE ',"docs":[' || {docs} || ']'
-           END || '}}' AS body
-    FROM orders"""
+           o_orderstatus || '","cb_version":"5.1"' || CASE WHEN o_orderkey % 10 = 3 THEN '' ELSE ',"docs":[' ||
+           coalesce(docs, '') || ']' END || '}}' AS body
+    FROM orders LEFT JOIN (
+      SELECT l_orderkey, count(*) AS n, {d.in_order("doc", "l_linenumber, doc")} AS docs
+      FROM (SELECT l_orderkey, l_linenumber, {doc} AS doc FROM lineitem) AS l0 GROUP BY l_orderkey
+    ) AS l1 ON o_orderkey = l_orderkey"""
 
 
 def ioc_urls(d: Dialect) -> str:
     """One query-type indicator per page, built from the page's url; some of them malformed."""
     query = (
-        f"CASE page_id % 6 WHEN 0 THEN 'q=' || replace(substr(url, 8, 40), '/', '%2F') || '&rows=10' "
-        f"WHEN 1 THEN 'rows=10&q=' || substr(url, 8, 12) || '+x&q=second' "
-        f"WHEN 2 THEN 'rows=' || cast(page_id as string) WHEN 3 THEN 'q=a%zz' "
-        f"WHEN 4 THEN 'rows=%2&q=ok' ELSE 'q' END"
+        f"CASE page_id % 6 WHEN 0 THEN 'q=' || replace(url, '/', '%2F') || '&rows=10' "
+        f"WHEN 1 THEN 'rows=10&q=' || url || '+x&q=second' "
+        f"WHEN 2 THEN 'rows=' || url WHEN 3 THEN 'q=' || url || '%zz' "
+        f"WHEN 4 THEN 'rows=%2&q=' || url ELSE url || '&q' END"
     )
     member = (
         "CASE WHEN page_id % 11 = 0 THEN '' ELSE '\"index_type\":\"events\",' END || "
@@ -243,18 +248,19 @@ def two_outputs(d: Dialect) -> str:
 
 
 def audit_lines(d: Dialect) -> str:
-    return """
-    SELECT conv_id, turn, split_part(text, chr(10), 1) AS message,
+    """Every line of every conversation text."""
+    return f"""
+    SELECT conv_id, turn, message,
            CASE turn % 4 WHEN 0 THEN 'live-response' WHEN 1 THEN 'banning' WHEN 2 THEN 'isolation'
                 ELSE 'useractivity' END AS log
-    FROM conversations"""
+    FROM (SELECT conv_id, turn, {d.lines} AS message FROM conversations) AS c0"""
 
 
 CARRIERS: dict[str, tuple[Callable[[Dialect], str], tuple[str, ...]]] = {
     # name: (SELECT builder, what it reads: driver tables or carriers listed above it)
     "bus_hits": (bus_hits, ("events",)),
     "bus_bad": (bus_bad, ("bus_hits",)),
-    "hit_docs": (hit_docs, ("orders",)),
+    "hit_docs": (hit_docs, ("orders", "lineitem")),
     "ioc_urls": (ioc_urls, ("pages",)),
     "sensor_flat": (sensor_flat, ("events",)),
     "string_table": (string_table, ("part",)),

@@ -310,6 +310,28 @@ def explode_docs(t: Tables):
     )
 
 
+@query(
+    "explode_docs_errors",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 2 OR o_orderkey % 5 = 3 THEN NULL ELSE pos END AS doc_pos,
+              CASE WHEN o_orderkey % 5 IN (0, 1, 3) THEN 'docs is not an array'
+                   WHEN o_orderkey % 5 = 2 AND pos = 0 OR o_orderkey % 5 = 4 AND pos = 1 THEN 'element of docs is not an object'
+              END AS error,
+              CASE WHEN o_orderkey % 5 = 2 AND pos = 1 OR o_orderkey % 5 = 4 AND pos = 0 THEN cast(o_custkey AS VARCHAR) END AS y
+       FROM orders, (SELECT unnest([0, 1])::BIGINT AS pos) WHERE o_orderkey % 5 IN (2, 4) OR pos = 0""",
+)
+def explode_docs_errors(t: Tables):
+    """Messages whose ``docs`` is an object, null, text, or an array with elements that are no objects."""
+    docs = F.expr(
+        """CASE o_orderkey % 5 WHEN 0 THEN '{"x":1}' WHEN 1 THEN 'null' WHEN 3 THEN '"t"'
+           WHEN 2 THEN '[1,{"y":' || o_custkey || '}]' ELSE '[{"y":' || o_custkey || '},null]' END"""
+    )
+    body = F.concat(F.lit('{"a":1,"docs":'), docs, F.lit("}"))
+    parsed = filters.parse_json_body(t.view("orders").select("o_orderkey", body.alias("body")))
+    rows = hits.explode_docs(parsed)
+    doc = V.as_message(F.get(F.col("msg")["docs"].try_cast("array<variant>"), F.lit(0)))
+    return rows.select("o_orderkey", F.col("doc_pos").cast("bigint").alias("doc_pos"), "error", doc["y"].cast("string").alias("y"))
+
+
 def _doc(key: str) -> str:
     return f"{J}(body, '$.docs[' || cast(pos AS VARCHAR) || '].{key}')"
 
@@ -366,7 +388,7 @@ def flagship(t: Tables):
     """Subscribe, parse, normalize and encode; then read the wanted keys back out of the encoded text."""
     wanted = filters.subscribe_filter(t.view("bus_hits"), filters.parse_subscriptions(CONF))
     good, _ = filters.reject_errors(filters.parse_json_body(wanted))
-    events = encode.encode_json(hits.normalize_hits(good, SERVER, URL))
+    events = encode.encode_json(filters.reject_errors(hits.normalize_hits(good, SERVER, URL))[0])
     parsed = F.from_json("value", "map<string,string>")
     return events.select("event_id", parsed.alias("e")).select("event_id", *[F.col("e")[k].alias(k) for k in NORMALIZED])
 

@@ -40,12 +40,16 @@ def read_envelope(spark: SparkSession, path: str, fmt: str = "parquet", columns:
     return df.select(*extra, *envelope)
 
 
+#: Tables with fewer splits than this are small files; dealing them out moves no more than these splits hold.
+SPREAD = 32
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the scan has fewer partitions than there are cores; large inputs stay as they are.
+    """Rows of a table of a few splits over more cores; larger tables stay as they are.
 
     Message work is bound by the CPU, so a single small file would otherwise keep one core busy and the rest idle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    cores = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD)
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
@@ -64,7 +68,7 @@ def read_routing_dirs(spark: SparkSession, path: str, suffix: str = "json") -> D
     stem = F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1)
     return files.select(
         F.col("content").alias("body"),
-        F.url_decode(F.regexp_replace(F.regexp_replace(parent, "^routing_key=", ""), r"\+", "%2B")).alias("routing_key"),
+        F.try_url_decode(F.regexp_replace(F.regexp_replace(parent, "^routing_key=", ""), r"\+", "%2B")).alias("routing_key"),
         F.lit(f"application/{suffix}").alias("content_type"),
         stem.alias("file"),
     )

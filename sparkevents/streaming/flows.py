@@ -4,25 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import encode, filters, hits, stats
-from ..operators.delivery import PostFn, deliver_pending
+from ..operators.delivery import PostFn, deliver_batch
 from ..sources.envelope import replay
 
-REPLAY_MESSAGES = 10_000
-
 
 def stream_normalize(messages: DataFrame, patterns: list[str], server: str = "", base_url: str = "", fmt: str = "json") -> DataFrame:
     """Envelope stream (or table) to encoded events: subscribe, parse, normalize, encode. No state, no shuffle."""
     routed = filters.dispatch_content_type(filters.subscribe_filter(messages, patterns))
     parsed = filters.parse_json_body(routed.filter(F.col("route") == "json"))
     good = parsed.filter(F.col("error").isNull()).drop("error", "body", "route")
-    events = hits.normalize_hits(good, server, base_url)
-    encoded = encode.encode_json(events) if fmt == "json" else encode.encode_leef(events)
-    return filters.nonempty_filter(encoded)
+    events = filters.reject_errors(hits.normalize_hits(good, server, base_url))[0]
+    # an encoded object is never empty, so nothing is left to be filtered behind the encoder
+    return encode.encode_json(events) if fmt == "json" else encode.encode_leef(events)
 
 
 def stream_counts(messages: DataFrame) -> DataFrame:
@@ -35,20 +33,6 @@ def stream_rates(messages: DataFrame, every: str = "1 minute", late: str = "10 m
     return stats.rate_stats(messages.withWatermark("ingest_ts", late), every=every)
 
 
-def stream_replay(spark: SparkSession, canned: DataFrame, rows_per_second: int = 1) -> DataFrame:
-    """Endless input: every tick of a rate source sends the canned messages once.
-
-    ``canned`` is a load-generation fixture; its messages travel inside each tick as one array, so their number is
-    checked. ``stream_replay_files`` has no such bound.
-    """
-    if canned.limit(REPLAY_MESSAGES + 1).count() > REPLAY_MESSAGES:
-        raise ValueError(f"more than {REPLAY_MESSAGES} canned messages; use stream_replay_files")
-    messages = canned.agg(F.collect_list(F.struct(*canned.columns)).alias("m"))
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-    sent = ticks.withColumn("_one", F.lit(1)).join(F.broadcast(messages.withColumn("_one", F.lit(1))), "_one")
-    return sent.select(F.col("value").alias("replay_no"), "timestamp", F.inline("m"))
-
-
 def stream_replay_files(messages: DataFrame, n: int) -> DataFrame:
     """File stream in which every message is sent ``n`` times."""
     return replay(messages, n)
@@ -67,10 +51,11 @@ def stream_daily_sink(events: DataFrame, path: str, checkpoint: str, ts: str = "
 
 
 def stream_deliver(bundles: DataFrame, ledger_path: str, checkpoint: str, post_fn: PostFn, **trigger) -> StreamingQuery:
-    """Send every bundle of a stream that the ledger does not list as closed, batch by batch."""
+    """Send every bundle of a stream that the ledger does not list as closed, batch by batch; bundles whose sending
+    failed go along with each later batch until they are closed."""
 
-    def send(batch: DataFrame, _: int) -> None:
-        deliver_pending(batch.sparkSession, batch, ledger_path, post_fn)
+    def send(batch: DataFrame, number: int) -> None:
+        deliver_batch(batch.sparkSession, batch, ledger_path, post_fn, number)
 
     return (
         bundles.writeStream.foreachBatch(send)

@@ -72,17 +72,22 @@ def test_tail_sees_only_new_whole_lines(spark, tmp_path):
     ]
 
 
-def test_replay_of_canned_messages(spark):
-    canned = spark.createDataFrame([("a",), ("b",)], "body string")
-    query = flows.stream_replay(spark, canned, 5).writeStream.format("memory").queryName("replayed").start()
-    try:
-        deadline = time.time() + 30
-        while spark.table("replayed").count() < 4 and time.time() < deadline:
-            time.sleep(0.2)
-    finally:
-        query.stop()
-    counts = rows(spark.table("replayed").groupBy("body").count())
-    assert counts[0][1] == counts[1][1] >= 2
+def test_failed_bundles_are_sent_with_later_batches(spark, tmp_path):
+    source, ledger = str(tmp_path / "in"), str(tmp_path / "ledger")
+    schema = "bundle_id string, payload string"
+    calls = tmp_path / "up"
+
+    def post(body, headers):
+        return (200, None) if calls.exists() or body == b"ok" else (503, "busy")
+
+    for number, payload in enumerate(["late", "ok", "late too"]):
+        spark.createDataFrame([(f"b{number}", payload)], schema).coalesce(1).write.mode("append").parquet(source)
+        if number == 2:
+            calls.touch()
+        stream = spark.readStream.schema(schema).parquet(source)
+        flows.stream_deliver(stream, ledger, str(tmp_path / "cp"), post).awaitTermination()
+    found = rows(spark.read.parquet(ledger).groupBy("bundle_id").agg(F.count("status"), F.min("status")))
+    assert found == [("b0", 3, 200), ("b1", 1, 200), ("b2", 1, 200)]
 
 
 def test_daily_stream(spark, tmp_path):
