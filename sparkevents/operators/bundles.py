@@ -5,7 +5,7 @@ in parallel. The rule's state at any point is one number, the bytes already in t
 first answers "for every possible number of carried bytes: how many bundles start here, and what is carried on?".
 Only the records of the first bundle's worth of bytes can make a difference, which keeps that answer small. A short
 scan over the answers of a key's segments then fixes what each segment really receives, and every segment lists its
-bundle starts. Records are never moved through Python: they join the list of starts of their segment.
+bundle starts. Records are never moved through Python: a running window carries the number of the last start to them.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import event_text, fill_template
 from ..functions.structs import arrow_schema
-from .ordered import ROWS_PER_SEGMENT, with_segment
+from ..session import shared_dir
+from .ordered import ROWS_PER_SEGMENT, as_number, segment_of, split_points
 
 GREEDY = "greedy"
 FILL = "fill"
@@ -161,23 +162,20 @@ def _entries(summaries: DataFrame, keys: list[str], limit: int) -> DataFrame:
 
 
 def _starts(narrow: DataFrame, keys: list[str], order: str, limit: int, mode: str) -> DataFrame:
-    """Per (key, segment): number of bundles started before it and the order values that open a bundle in it."""
-    order_type = narrow.schema[order].dataType
+    """One row per bundle start: key, segment, order value and the bundle's number. A segment whose first records belong
+    to a bundle of an earlier one begins with a row for that bundle."""
     schema = T.StructType(
-        [narrow.schema[k] for k in (*keys, "_segment")]
-        + [T.StructField("_before", T.LongType()), T.StructField("_starts", T.ArrayType(order_type))]
+        [narrow.schema[k] for k in (*keys, "_segment", order)] + [T.StructField("_number", T.LongType())]
     )
 
     def list_starts(table: pa.Table) -> pa.Table:
         position, prefix = _prefix(table, order)
         found = starts_from(prefix, table.column("_carry")[0].as_py(), limit, mode)
-        opened = table.column(order).take(pa.array(position[found]))
-        row = {k: [table.column(k)[0].as_py()] for k in (*keys, "_segment", "_before")}
-        target = arrow_schema(schema)
-        arrays = [pa.array(v, type=target.field(k).type) for k, v in row.items()]
-        values = opened.combine_chunks().cast(target.field("_starts").type.value_type)
-        arrays.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
-        return pa.Table.from_arrays([a.cast(target.field(i).type) for i, a in enumerate(arrays)], schema=target)
+        number = table.column("_before")[0].as_py() + np.arange(len(found))
+        if not len(found) or found[0]:
+            found, number = np.append(0, found), np.append(table.column("_before")[0].as_py() - 1, number)
+        at = table.take(pa.array(position[found])).select([*keys, "_segment", order])
+        return at.append_column("_number", pa.array(number, pa.int64())).cast(arrow_schema(schema))
 
     return narrow.groupBy(*keys, "_segment").applyInArrow(list_starts, schema)
 
@@ -194,22 +192,23 @@ def pack_bundles(df: DataFrame, key: str | list[str], order: str, max_bytes: int
     if mode not in (GREEDY, FILL):
         raise ValueError(f"unknown packing mode {mode}")
     keys = [key] if isinstance(key, str) else list(key)
-    sized = df.withColumn("_size", F.octet_length(text).cast("bigint"))
-    rows, several = with_segment(sized, order, rows_per_segment)
-    narrow = rows.select(*keys, order, "_size", "_segment")
-    if several:
-        entries = _entries(_summaries(narrow, keys, order, max_bytes, mode), keys, max_bytes)
-        entries = entries.select(*[F.col(k).alias(f"_k_{k}") for k in (*keys, "_segment")], "_carry", "_before")
-        narrow = narrow.join(entries, _matches(keys), "inner").select(*narrow.columns, "_carry", "_before")
-    else:
-        zero = F.lit(0).cast("bigint")
-        narrow = narrow.select("*", zero.alias("_carry"), zero.alias("_before"))
-    starts = _starts(narrow, keys, order, max_bytes, mode)
-    starts = starts.select(*[F.col(k).alias(f"_k_{k}") for k in (*keys, "_segment")], "_before", "_starts")
-    opened = F.size(F.filter("_starts", lambda s: s <= F.col(order)))
-    return rows.join(starts, _matches(keys), "inner").select(
-        *df.columns, (F.col("_before") + opened - 1).alias(out)
-    )
+    # sizes are read several times, so they are written once; the records themselves pass a single time
+    path = shared_dir(df.sparkSession, "packing")
+    sized = df.select(*keys, order, F.octet_length(text).cast("bigint").alias("_size"))
+    sized.write.parquet(path)
+    sized = df.sparkSession.read.schema(sized.schema).parquet(path)
+    points = split_points(sized, order, rows_per_segment)
+    segment = segment_of(as_number(df, order), points)
+    narrow = sized.withColumn("_segment", segment)
+    entries = _entries(_summaries(narrow, keys, order, max_bytes, mode), keys, max_bytes)
+    entries = entries.select(*[F.col(k).alias(f"_k_{k}") for k in (*keys, "_segment")], "_carry", "_before")
+    narrow = narrow.join(entries, _matches(keys), "inner").select(*narrow.columns, "_carry", "_before")
+    # starts stand before the record of the same order value; each record takes the number of the last one before it
+    starts = _starts(narrow, keys, order, max_bytes, mode).withColumn("_record", F.lit(False))
+    marked = df.withColumns({"_segment": segment, "_record": F.lit(True)}).unionByName(starts, allowMissingColumns=True)
+    earlier = Window.partitionBy(*keys, "_segment").orderBy(order, "_record")
+    number = F.last("_number", ignorenulls=True).over(earlier.rowsBetween(Window.unboundedPreceding, 0))
+    return marked.withColumn(out, number).filter("_record").select(*df.columns, out)
 
 
 def _matches(keys: list[str]) -> Column:

@@ -20,7 +20,7 @@ MAX_SEGMENTS = 16_384
 TIME_TYPES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
-def _as_number(df: DataFrame, order: str) -> Column:
+def as_number(df: DataFrame, order: str) -> Column:
     """The order column as a number of the same order."""
     dtype = df.schema[order].dataType
     if isinstance(dtype, TIME_TYPES):
@@ -41,7 +41,7 @@ def split_points(df: DataFrame, order: str, rows_per_segment: int = ROWS_PER_SEG
         return []
     probabilities = [i / k for i in range(1, k)]
     found = df.agg(
-        F.percentile_approx(_as_number(df, order), probabilities, max(10_000, 8 * k)).alias("q")
+        F.percentile_approx(as_number(df, order), probabilities, max(10_000, 8 * k)).alias("q")
     ).first()["q"]
     return sorted(set(found))
 
@@ -64,15 +64,7 @@ def segment_of(value: Column, points: list) -> Column:
 def with_segment(df: DataFrame, order: str, rows_per_segment: int = ROWS_PER_SEGMENT, out: str = "_segment") -> tuple[DataFrame, bool]:
     """The rows with their segment number, and whether there is more than one segment."""
     points = split_points(df, order, rows_per_segment)
-    return df.withColumn(out, segment_of(_as_number(df, order), points)), bool(points)
-
-
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """NULL-safe equality of all keys."""
-    condition = F.lit(True)
-    for k in keys:
-        condition &= left[k].eqNullSafe(right[k])
-    return condition
+    return df.withColumn(out, segment_of(as_number(df, order), points)), bool(points)
 
 
 def running(df: DataFrame, keys: list[str], order: str, sums: dict[str, Column],
