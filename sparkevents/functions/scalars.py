@@ -155,13 +155,6 @@ def is_gzip(content: Column) -> Column:
     return F.startswith(content, F.lit(bytes.fromhex("1f8b08")))
 
 
-def is_zip(content: Column) -> Column:
-    """Local-file or empty-archive signature at the start of a binary."""
-    return F.startswith(content, F.lit(bytes.fromhex("504b0304"))) | F.startswith(
-        content, F.lit(bytes.fromhex("504b0506"))
-    )
-
-
 def header_int(headers: Column, key: str) -> Column:
     """A header number given as an integer or as decimal text; NULL when absent or not a number."""
     text = headers[key]
@@ -180,10 +173,6 @@ def day_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMdd")
 
 
-def millis_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS")
-
-
 def base64_text(raw: Column) -> Column:
     """Base64 on one line; Spark may break long output into lines of 76 characters."""
     return F.replace(F.base64(raw), F.lit("\r\n"), F.lit(""))

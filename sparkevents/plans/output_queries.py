@@ -159,20 +159,19 @@ def write_daily(t: Tables):
 @query(
     "write_compressed",
     """SELECT codec, ext, count(*) AS n, cast(sum(strlen(body)) AS BIGINT) AS n_bytes FROM bus_hits,
-         (VALUES ('gzip', '.gz'), ('lz4', '.lz4'), ('none', '.json')) AS c(codec, ext) GROUP BY codec, ext""",
+         (VALUES ('gzip', '.gz'), ('lz4', '.lz4'), ('none', '.txt')) AS c(codec, ext) GROUP BY codec, ext""",
     ("bus_hits",),
 )
 def write_compressed(t: Tables):
-    """Each codec written and read back."""
+    """Each codec written and read back, with the extension that its files bear."""
     rows = t.view("bus_hits").select(F.col("body").alias("value"))
     read = []
     for codec in ("gzip", "lz4", "none"):
         path = t.scratch(f"codec-{codec}")
         sinks.write_compressed(rows, path, codec)
-        extension = sinks.file_extension(codec)
         read.append(
-            t.spark.read.text(path).agg(
-                F.lit(codec).alias("codec"), F.lit(extension).alias("ext"), F.count(F.lit(1)).alias("n"),
+            t.spark.read.text(path).select("value", F.regexp_extract("_metadata.file_name", r"(\.[a-z0-9]+)$", 1).alias("ext")).groupBy("ext").agg(
+                F.lit(codec).alias("codec"), F.count(F.lit(1)).alias("n"),
                 F.sum(F.octet_length("value").cast("bigint")).alias("n_bytes"),
             )
         )
@@ -233,7 +232,7 @@ def pack_bundles_segments(t: Tables):
 def write_chunks(t: Tables):
     """Chunks written and read back, with the object name each would get."""
     path = t.scratch("chunks")
-    sinks.write_chunks(t.view("messages"), path, "source", "doc_id", CHUNK_BYTES, workers=4)
+    sinks.write_chunks(t.view("messages"), path, "source", "doc_id", CHUNK_BYTES)
     found = t.spark.read.schema("value string, source string, chunk_no bigint").text(path)
     grouped = found.groupBy("source", "chunk_no").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value").cast("bigint")).alias("n_bytes")

@@ -1,4 +1,4 @@
-"""Streams: stateful packing, the growing-file source, replay."""
+"""Streams: stateful packing, delivery, daily sink."""
 
 import time
 
@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from conftest import rows
 from sparkevents.operators import bundles
 from sparkevents.streaming import flows, packing
-from sparkevents.streaming.tail import stream_tail_audit
 
 
 def write(spark, path, data):
@@ -52,26 +51,6 @@ def test_packing_over_workers_keeps_every_record(spark, tmp_path):
     assert found.groupBy("worker", "bundle_no").count().filter("count > 2").count() == 0
 
 
-def test_tail_sees_only_new_whole_lines(spark, tmp_path):
-    log = tmp_path / "banning.log"
-    log.write_text("old\n")
-    stream = stream_tail_audit(spark, str(tmp_path))
-    query = stream.writeStream.format("memory").queryName("tailed").start()
-    try:
-        query.processAllAvailable()
-        with log.open("a") as f:
-            f.write("new 1\nnew 2\npart")
-        (tmp_path / "isolation.log").write_text("first\n")
-        deadline = time.time() + 30
-        while spark.table("tailed").count() < 3 and time.time() < deadline:
-            time.sleep(0.2)
-    finally:
-        query.stop()
-    assert rows(spark.table("tailed")) == [
-        ("first", "audit.log.isolation"), ("new 1", "audit.log.banning"), ("new 2", "audit.log.banning"),
-    ]
-
-
 def test_failed_bundles_are_sent_with_later_batches(spark, tmp_path):
     source, ledger = str(tmp_path / "in"), str(tmp_path / "ledger")
     schema = "bundle_id string, payload string"
