@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variants as V
-
-MAX_DEPTH = 8
+from ..session import shared_dir
 
 MISSING = "missing"
 EXTRA = "extra"
@@ -36,109 +35,72 @@ def _step(key: Column) -> Column:
     return F.concat(F.lit("."), F.regexp_replace(key, r"([.\[\\])", r"\\$1"))
 
 
-def _children(node: Column) -> Column:
+def _children() -> Column:
+    """Pairs below two objects or two arrays of one length: ``(path, g, n)``, a side that lacks a key being NULL."""
+    as_object = lambda c: V.as_message(F.when(V.kind(F.col(c)).startswith("OBJECT"), F.col(c)))
+    as_array = lambda c: F.when(V.kind(F.col(c)).startswith("ARRAY"), F.col(c)).try_cast("array<variant>")
+    pair = lambda path, g, n: F.struct(path.alias("path"), g.alias("g"), n.alias("n"))
+    g, n = as_object("g"), as_object("n")
     members = F.transform(
-        F.map_entries(V.as_message(F.when(node["kind"].startswith("OBJECT"), node["v"]))),
-        lambda e: _node(F.concat(node["path"], _step(e["key"])), e["value"]),
+        F.array_distinct(F.concat(F.map_keys(g), F.map_keys(n))), lambda k: pair(F.concat("path", _step(k)), g[k], n[k])
     )
     items = F.transform(
-        F.when(node["kind"].startswith("ARRAY"), node["v"]).try_cast("array<variant>"),
-        lambda x, i: _node(F.concat(node["path"], F.lit("["), i.cast("string"), F.lit("]")), x),
+        F.arrays_zip(as_array("g").alias("g"), as_array("n").alias("n")),
+        lambda x, i: pair(F.concat("path", F.lit("["), i.cast("string"), F.lit("]")), x["g"], x["n"]),
     )
     return F.coalesce(members, items)
 
 
-def _node(path: Column, v: Column) -> Column:
-    return F.struct(path.alias("path"), V.kind(v).alias("kind"), v.alias("v"))
-
-
-def with_nodes(df: DataFrame, json: str, out: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Add a map from JSON path to ``(type, size, value)`` over all nodes of a document.
-
-    Objects and arrays are nodes too. A subtree below ``max_depth`` levels is one node holding its text, so that
-    nothing in it goes unnoticed. Everything happens inside the row, one level after the other.
-    """
-    level = lambda d: f"_{out}_{d}"
-    root = f"_{out}_root"
-    df = df.withColumn(root, F.try_parse_json(json))
-    df = df.withColumn(level(0), F.when(F.col(root).isNotNull(), F.array(_node(F.lit(""), F.col(root)))))
-    for d in range(max_depth):
-        inner = F.filter(level(d), lambda n: n["kind"].startswith("OBJECT") | n["kind"].startswith("ARRAY"))
-        df = df.withColumn(level(d + 1), F.flatten(F.transform(inner, _children)))
-    deepest = F.transform(
-        level(max_depth), lambda n: F.struct(n["path"].alias("path"), n["kind"].alias("kind"), n["v"].alias("v"), F.lit(True).alias("cut"))
-    )
-    upper = F.transform(
-        F.concat(*[F.col(level(d)) for d in range(max_depth)]),
-        lambda n: F.struct(n["path"].alias("path"), n["kind"].alias("kind"), n["v"].alias("v"), F.lit(False).alias("cut")),
+def _compared(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """``pairs(keys, path, g, n)`` with what differs at the path itself, and the pairs below if nothing does."""
+    kind = {c: V.kind(F.col(c)) for c in ("g", "n")}
+    inner = {c: k.startswith("OBJECT") | k.startswith("ARRAY") for c, k in kind.items()}
+    text = {c: F.when(~inner[c], F.col(c).cast("string")) for c in kind}
+    size = {c: F.when(k.startswith("ARRAY"), F.size(F.col(c).try_cast("array<variant>"))) for c, k in kind.items()}
+    problem = (
+        F.when(F.col("n").isNull(), MISSING)
+        .when(F.col("g").isNull(), EXTRA)
+        .when(json_type(kind["g"]) != json_type(kind["n"]), TYPE)
+        .when(~size["g"].eqNullSafe(size["n"]), LENGTH)
+        .when(~text["g"].eqNullSafe(text["n"]), VALUE)
     )
-    inner = lambda n: n["kind"].startswith("OBJECT") | n["kind"].startswith("ARRAY")
-    text = lambda n: F.when(~inner(n), n["v"].cast("string")).when(n["cut"], F.to_json(n["v"]))
-    size = lambda n: F.when(n["kind"].startswith("ARRAY"), F.size(n["v"].try_cast("array<variant>")))
-    nodes = F.transform(
-        F.concat(upper, deepest),
-        lambda n: F.struct(
-            n["path"].alias("key"),
-            F.struct(json_type(n["kind"]).alias("type"), size(n).alias("size"), text(n).alias("value")).alias("value"),
-        ),
-    )
-    return df.withColumn(out, F.map_from_entries(nodes)).drop(root, *[level(d) for d in range(max_depth + 1)])
-
-
-def _problem(g: Column, n: Column) -> Column:
-    return (
-        F.when(n.isNull(), MISSING)
-        .when(g.isNull(), EXTRA)
-        .when(g["type"] != n["type"], TYPE)
-        .when(~g["size"].eqNullSafe(n["size"]), LENGTH)
-        .when(~g["value"].eqNullSafe(n["value"]), VALUE)
+    shown = lambda c: F.when(F.col("problem") == LENGTH, size[c].cast("string")).otherwise(text[c])
+    rows = pairs.withColumn("problem", problem)
+    return rows.select(
+        *keys, "path", "problem", shown("g").alias("gold_value"), shown("n").alias("new_value"),
+        F.when(F.col("problem").isNull(), _children()).alias("below"),
     )
 
 
-def diff_lines(pairs: DataFrame, keys: list[str], gold: str = "gold", new: str = "new",
-               max_depth: int = MAX_DEPTH) -> DataFrame:
+def diff_lines(pairs: DataFrame, keys: list[str], gold: str = "gold", new: str = "new") -> DataFrame:
     """Differences between two JSON texts per line: ``(keys, path, problem, gold_value, new_value)``.
 
-    Lines with equal text are dropped first, so only lines that really differ are taken apart, each inside its own
-    row. Only the outermost problem is reported: below a changed type, a missing or extra node, or an array of another
-    length everything differs anyway.
+    Lines with equal text are dropped first. The rest is taken apart level by level: pairs of values at one path are
+    rows, and pairs of objects or arrays that agree in themselves give rows for what is in them, until none is left. So
+    only the outermost problem is reported, at any depth, and a job runs per level of the deepest document. Text that is
+    no JSON counts as a string.
     """
-    changed = pairs.filter(~F.col(gold).eqNullSafe(F.col(new))).select(*keys, gold, new)
-    whole = lambda c: F.when(
-        F.col(c).isNotNull(),
-        F.struct(F.lit("line").alias("type"), F.lit(None).cast("int").alias("size"), F.col(c).alias("value")),
-    )
-    one_sided = F.array(
-        F.struct(
-            F.lit("").alias("path"), F.when(F.col(new).isNull(), MISSING).otherwise(EXTRA).alias("problem"),
-            whole(gold).alias("g"), whole(new).alias("n"),
-        )
+    changed = pairs.filter(~F.col(gold).eqNullSafe(F.col(new)))
+    one_sided = F.col(gold).isNull() | F.col(new).isNull()
+    found = changed.filter(one_sided).select(
+        *keys, F.lit("").alias("path"), F.when(F.col(new).isNull(), MISSING).otherwise(EXTRA).alias("problem"),
+        F.col(gold).alias("gold_value"), F.col(new).alias("new_value"),
     )
-    rows = with_nodes(with_nodes(changed, gold, "_g", max_depth), new, "_n", max_depth)
-    g, n = F.col("_g"), F.col("_n")
-    shown = lambda problem, node: F.when(problem == LENGTH, node["size"].cast("string")).otherwise(node["value"])
-    compared = F.transform(
-        F.array_distinct(F.concat(F.map_keys(g), F.map_keys(n))),
-        lambda p: F.struct(p.alias("path"), _problem(g[p], n[p]).alias("problem"), g[p].alias("g"), n[p].alias("n")),
-    )
-    found = F.filter(compared, lambda d: d["problem"].isNotNull())
-    missing_side = F.col(gold).isNull() | F.col(new).isNull()
-    rows = rows.select(*keys, F.when(missing_side, one_sided).otherwise(found).alias("_d"))
-    closed = F.transform(F.filter("_d", lambda d: d["problem"] != VALUE), lambda d: d["path"])
-    rows = rows.withColumn("_closed", closed)
-    below = lambda path: F.exists(
-        "_closed",
-        lambda c: (path != c) & F.startswith(path, c) & F.substring(path, F.length(c) + 1, F.lit(1)).isin(".", "["),
-    )
-    found = rows.select(*keys, F.explode(F.filter("_d", lambda d: ~below(d["path"]))).alias("d"))
-    problem = F.col("d.problem")
-    return found.select(
-        *keys, "d.path", "d.problem", shown(problem, F.col("d.g")).alias("gold_value"),
-        shown(problem, F.col("d.n")).alias("new_value"),
-    )
-
-
-def diff_tables(gold: DataFrame, new: DataFrame, keys: list[str], value: str = "value", max_depth: int = MAX_DEPTH) -> DataFrame:
+    parsed = lambda c: F.coalesce(F.try_parse_json(c), F.col(c).cast("variant"))
+    level = changed.filter(~one_sided).select(*keys, F.lit("").alias("path"), parsed(gold).alias("g"), parsed(new).alias("n"))
+    spark = pairs.sparkSession
+    while True:
+        path = shared_dir(spark, "diff")
+        compared = _compared(level, keys)
+        compared.write.parquet(path)
+        compared = spark.read.schema(compared.schema).parquet(path)
+        found = found.unionByName(compared.filter("problem is not null").drop("below"))
+        level = compared.filter("size(below) > 0").select(*keys, F.inline("below"))
+        if level.isEmpty():
+            return found
+
+
+def diff_tables(gold: DataFrame, new: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
     """Compare two outputs whose lines are identified by ``keys`` (such as file and line number)."""
     left = gold.select(*keys, F.col(value).alias("gold"))
     right = new.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(value).alias("new"))
@@ -148,7 +110,7 @@ def diff_tables(gold: DataFrame, new: DataFrame, keys: list[str], value: str = "
     pairs = left.join(right, on, "full_outer").select(
         *[F.coalesce(F.col(k), F.col(f"_k_{k}")).alias(k) for k in keys], "gold", "new"
     )
-    return diff_lines(pairs, keys, max_depth=max_depth)
+    return diff_lines(pairs, keys)
 
 
 def only_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -57,6 +57,10 @@ def lines(spark, *values):
                                  "file string, line long, value string")
 
 
+def nested(depth, value):
+    return {"a": nested(depth - 1, value)} if depth else value
+
+
 DIFFS = [
     ({"a": 1}, {"a": 1}, []),
     ({"a": 1, "b": 2}, {"b": 2, "a": 1}, []),
@@ -70,8 +74,8 @@ DIFFS = [
     ({"a": {"x": 1}}, {"a": [1]}, [(".a", "type", None, None)]),
     ({"a.b": 1, "a": {"b": 2}}, {"a.b": 1, "a": {"b": 3}}, [(".a.b", "value", "2", "3")]),
     ([1], [2], [("[0]", "value", "1", "2")]),
-    ({"a": {"a": {"a": {"a": {"a": {"a": {"a": {"a": {"a": {"a": 1}}}}}}}}}}, {"a": {"a": {"a": {"a": {"a": {"a": {"a": {"a": {"a": {"a": 2}}}}}}}}}},
-     [(".a" * 8, "value", '{"a":{"a":1}}', '{"a":{"a":2}}')]),
+    (nested(12, 1), nested(12, 2), [(".a" * 12, "value", "1", "2")]),
+    (nested(9, [1]), nested(9, {"b": 1}), [(".a" * 9, "type", None, None)]),
 ]
 
 
