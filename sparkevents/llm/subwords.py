@@ -65,10 +65,10 @@ class Encoder:
         return ids, ends[np.searchsorted(starts, begin)]
 
     def numbers(self, stretches: list[bytes]) -> np.ndarray:
-        """The stretches' numbers; new ones are encoded first."""
+        """The stretches' numbers; new ones are encoded first. Stretches may be repeated."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        new = [x for x in stretches if x not in self.known]
+        new = [x for x in dict.fromkeys(stretches) if x not in self.known]  # a number is a place in ``size``
         lists = [e.ids for e in self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)]
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
         size = np.fromiter(map(len, lists), np.int64, len(lists))

@@ -3,7 +3,7 @@
 import zlib
 
 import numpy as np
-from sparkevents.llm import packing, subwords
+from sparkevents.llm import lm, packing, subwords
 from tokenizers import Tokenizer
 
 TEXTS = [
@@ -26,6 +26,17 @@ def test_encoder_gives_the_tokenizer_s_ids():
     assert encode([])[0].size == 0 and encode([""])[1].tolist() == [0, 0]
 
 
+def test_encoder_after_words_with_repeats():
+    encoder, expected = subwords.Encoder(subwords.vocabulary_bytes()), plain()
+    for words in (["the", "cat", "the", "cat", "the"], ["a", "mat", "a"], ["the", "lastly", "mat"]):
+        pieces, ends = lm.word_pieces(encoder, words, np.arange(len(words)))
+        got = [pieces[a:b].tolist() for a, b in zip([0, *ends], ends)]
+        assert got == [expected(" " + w) for w in words]
+    ids, begin = encoder.encode(TEXTS)
+    assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == [expected(t) for t in TEXTS]
+    assert len(encoder.known) == len(encoder.size)
+
+
 def test_every_document_comes_back(spark):
     long = " ".join(f"word{i % 977}" for i in range(9000))
     data = [(i, t, "x") for i, t in enumerate([*TEXTS, long, None, long, *(" ".join(TEXTS[:k]) for k in range(1, 18))])]
