@@ -177,18 +177,21 @@ def near_duplicates(
     Rows of one fingerprint are one node. Null and empty texts have fingerprint 0 and link like any other. A null id
     never names a component, unless no row of it has an id; repeated rows each keep their row.
     """
-    return classes(with_fingerprint(docs.select(F.col(key).alias("doc_id"), text), text, width=width), radius)
+    return classes(with_fingerprint(docs.select(F.col(key).alias("doc_id"), text), text, width=width), radius).drop("root")
 
 
 def classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``doc_id, fingerprint`` (and further columns) with the ``component_id`` of each row."""
+    """``doc_id, fingerprint`` (and further columns) with the ``root`` (a fingerprint) and ``component_id`` of each row.
+
+    Only the root names a component: ids may be null or stand for several texts.
+    """
     marked = materialize(marked.drop("text"), "fingerprints")
     nodes = materialize(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("low")), "nodes")
     roots = components(links(nodes.select("fingerprint"), radius))
     rooted = nodes.join(roots.withColumnsRenamed({"u": "fingerprint", "v": "root"}), "fingerprint", "left")
     rooted = rooted.select("fingerprint", "low", F.coalesce("root", "fingerprint").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fingerprint", "component_id")
+    named = rooted.join(lowest, "root").select("fingerprint", "root", "component_id")
     return marked.join(named, "fingerprint")
 
 
@@ -197,7 +200,7 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", width
     name = fresh(docs, "text_hash")
     hashed = F.xxhash64(F.col(text))
     marked = with_fingerprint(docs.select(F.col(key).alias("doc_id"), text, hashed.alias(name)), text, width=width)
-    low = classes(marked, radius).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", name)).alias("m"))
+    low = classes(marked, radius).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", name)).alias("m"))
     kept = low.select(F.col("m.doc_id").alias("kept_id"), F.col(f"m.{name}").alias("kept_hash"))
     rows = docs.withColumn(name, hashed)
     match = F.col(key).eqNullSafe(F.col("kept_id")) & (F.col(name) == F.col("kept_hash"))

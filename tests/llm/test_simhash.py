@@ -88,6 +88,13 @@ def test_rows_of_documents(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_unrelated_texts_without_an_id_or_with_one_id_stay(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(200)) for name in "pqrst"]
+    data = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[3]), (7, texts[4])]
+    kept = simhash.deduplicated(spark.createDataFrame(data, "doc_id long, text string"))
+    assert rows(kept) == sorted([(None, texts[0]), (None, texts[1]), *[(7, t) for t in texts[2:]]], key=str)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 200)] + [(2000, 2000), (3, 1)]
     found = dict(rows(components(spark.createDataFrame(edges, "u long, v long"))))
