@@ -100,6 +100,26 @@ def test_language_model(spark, monkeypatch):
     assert lm.score(docs.limit(0), learnable(7, 2), held_out(7, 2)).count() == 0
 
 
+def test_training_sums_every_target_of_every_learned_text(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lm, "improve", lambda model, sums, *_: seen.append(sums))
+    monkeypatch.setattr(lm, "ROUNDS", 1)
+    data = [(i, f"word{i % 50} common text number{i}") for i in range(900)] + [(10_001, "cat mat " * 9_000), (None, "x y")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    lm.score(docs, learnable(7, 2), held_out(7, 2))
+    learned = [words(t) for i, t in data if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for t in learned for w in t)
+    encoder = subwords.Encoder(subwords.vocabulary_bytes())
+    expected = np.zeros(lm.VOCABULARY)
+    expected[lm.END] = lm.OFTEN * len(learned)
+    for w, n in counts.items():
+        ids, _ = lm.word_pieces(encoder, [w.decode()], np.arange(1))
+        np.add.at(expected, ids, n * (1.0 if n <= lm.RARE else lm.OFTEN))
+    assert len(learned) > 700 and b"cat" in counts
+    assert seen[0][:-1, lm.EMITS].sum(1) == pytest.approx(expected, rel=1e-3, abs=1e-6)
+    assert seen[0][:-1, lm.VOTES].sum() == pytest.approx(expected.sum(), rel=1e-3)
+
+
 def small_model():
     draw = np.random.default_rng(0)
     emits = draw.dirichlet(np.ones(lm.VOCABULARY) * 0.1 + 0.05, 4).T
