@@ -165,17 +165,27 @@ def split_frames(t: Tables):
     return rows.select("event_id", "idx", F.col("frame").cast("string").alias("frame"), "error")
 
 
+#: Event ids that one binary file may span, so that a file stays small however many events there are.
+FILE_IDS = 10_000
+
+
+def runs_of(events, groups: int):
+    """Events as runs of ``bundle`` and a bounded range of ids."""
+    bundle, span = (F.col("event_id") % groups).alias("bundle"), F.expr(f"event_id div {FILE_IDS}").alias("span")
+    rows = events.select(bundle, span, F.col("props").cast("binary").alias("frame"), "event_id")
+    return frames.pack_run(rows, ["bundle", "span"], "event_id")
+
+
 @query(
     "read_bundles",
     "SELECT event_id % 50 AS bundle, count(*) AS n, cast(sum(strlen(props)) AS BIGINT) AS n_bytes FROM events GROUP BY ALL",
 )
 def read_bundles(t: Tables):
     """Runs written as binary files by the tasks that hold them, then read back and split."""
-    rows = t.view("events").select((F.col("event_id") % 50).alias("bundle"), F.col("props").cast("binary").alias("frame"), "event_id")
     path = t.scratch("bundles")
-    write_binary(frames.pack_run(rows, ["bundle"], "event_id").withColumn("name", F.format_string("b-%d.bin", "bundle")), path)
+    write_binary(runs_of(t.view("events"), 50).withColumn("name", F.format_string("b-%d-%d.bin", "bundle", "span")), path)
     found = frames.read_bundles(t.spark, path, "*.bin").filter("error is null")
-    bundle = F.regexp_extract("path", r"b-(\d+)\.bin", 1).cast("bigint")
+    bundle = F.regexp_extract("path", r"b-(\d+)-\d+\.bin", 1).cast("bigint")
     return found.groupBy(bundle.alias("bundle")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("frame").cast("bigint")).alias("n_bytes")
     )
@@ -187,32 +197,39 @@ def read_bundles(t: Tables):
 )
 def read_event_logs(t: Tables):
     """The same for event logs, every second one gzipped."""
-    rows = t.view("events").select((F.col("event_id") % 40).alias("bundle"), F.col("props").cast("binary").alias("frame"), "event_id")
-    named = frames.pack_run(rows, ["bundle"], "event_id").withColumn(
-        "name", F.concat(F.format_string("e-%d.log", "bundle"), F.when(F.col("bundle") % 2 == 0, ".gz").otherwise(""))
+    named = runs_of(t.view("events"), 40).withColumn(
+        "name", F.concat(F.format_string("e-%d-%d.log", "bundle", "span"), F.when(F.col("bundle") % 2 == 0, ".gz").otherwise(""))
     )
     path = t.scratch("logs")
     write_binary(named, path)
     found = frames.read_event_logs(t.spark, path).filter("error is null")
-    bundle = F.regexp_extract("path", r"e-(\d+)\.log", 1).cast("bigint")
+    bundle = F.regexp_extract("path", r"e-(\d+)-\d+\.log", 1).cast("bigint")
     return found.groupBy(bundle.alias("bundle")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("frame").cast("bigint")).alias("n_bytes")
     )
 
 
 def write_binary(df, path: str) -> None:
-    """Write each row's ``body`` as the file ``name`` below a shared folder, from the tasks; ``.gz`` names are gzipped."""
+    """Write each row's ``body`` as the file ``name`` below a shared folder, from the tasks; ``.gz`` names are gzipped.
+
+    The folder may be a path or a URI: tasks write to the file system that Spark reads it from.
+    """
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    folder = store.makeQualified(place).toUri().toString()
 
     def write(batches):
         import gzip
-        import os
 
         import pyarrow as pa
+        from pyarrow.fs import FileSystem
 
-        os.makedirs(path, exist_ok=True)
+        files, root = FileSystem.from_uri(folder)
+        files.create_dir(root, recursive=True)
         for batch in batches:
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                with open(os.path.join(path, name), "wb") as f:
+                with files.open_output_stream(f"{root}/{name}", compression=None) as f:
                     f.write(gzip.compress(body) if name.endswith(".gz") else body)
             yield pa.RecordBatch.from_arrays([batch.column(0)], names=["name"])
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from sparkevents.operators import sensor
+from sparkevents.plans import scalar_queries
 from sparkevents.sources import frames
 from sparkevents.sources.sensor_schema import message_class
 
@@ -102,3 +103,18 @@ def test_encode_is_the_inverse_of_decode(spark):
     df = spark.createDataFrame([(1, bytearray(raw))], "id int, frame binary")
     again = frames.encode_frames(frames.decode_frames(df).drop("error")).first()["frame"]
     assert bytes(again) == raw
+
+
+@pytest.mark.parametrize("scheme", ["", "file://", "file:"])
+def test_runs_written_to_a_path_or_uri_come_back(spark, tmp_path, monkeypatch, scheme):
+    monkeypatch.chdir(tmp_path)
+    data = [(i, f"props {i}" * (i % 3 + 1)) for i in range(0, 60_000, 25)]
+    runs = scalar_queries.runs_of(spark.createDataFrame(data, "event_id long, props string"), 50)
+    size = F.octet_length("body")
+    assert runs.count() == 2 * 6 and runs.agg(F.max("span")).first()[0] == 5  # no file spans more than its ids
+    named = runs.withColumn("name", F.format_string("e-%d-%d.log%s", "bundle", "span", F.when(size % 2 == 0, ".gz").otherwise("")))
+    folder = f"{scheme}{tmp_path}/a folder"
+    scalar_queries.write_binary(named, folder)
+    found = frames.read_event_logs(spark, folder)
+    assert found.filter("error is not null").isEmpty()
+    assert sorted(r[0].decode() for r in found.select("frame").collect()) == sorted(x for _, x in data)
