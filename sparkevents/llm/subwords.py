@@ -49,13 +49,22 @@ class Encoder:
         self.known: dict[bytes, int] = {}
         self.flat, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
+    def raw(self, text: str) -> bytes:
+        return text.encode()
+
+    def cuts(self, data: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        return stretches(data, begin)
+
+    def spell(self, new: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's ids begin (one more entry for the end)."""
-        raw = [t.encode() for t in texts]
+        raw = [self.raw(t) for t in texts]
         begin = np.zeros(len(raw) + 1, np.int64)
         np.cumsum([len(x) for x in raw], out=begin[1:])
         whole = b"".join(raw)
-        starts = stretches(np.frombuffer(whole, np.uint8), begin)
+        starts = self.cuts(np.frombuffer(whole, np.uint8), begin)
         data = pa.py_buffer(whole)
         offsets = np.append(starts, begin[-1]).astype(np.int32)
         found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), data]).dictionary_encode()
@@ -69,7 +78,7 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.forget()
         new = [x for x in dict.fromkeys(stretches) if x not in self.known]  # a number is a place in ``size``
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)]
+        lists = self.spell(new)
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
         size = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(size.sum()))
