@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embdedup, langid, lm, manifest, mixing, packing, pieces, quality, secrets, simhash, topk, toxicity
+from . import alignment, embdedup, langid, lm, manifest, mixing, packing, pieces, quality, secrets, simhash, topk, toxicity
 from .common import held_out, learnable, table
 
 
@@ -174,6 +174,13 @@ JOIN walk w ON w.name = l.tree AND w.leaf_i = l.i AND w.tree = ''
 """
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.aligned(table(spark, sf_dir, "documents"))
+    shown = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    found = alignment.counted(found.withColumn("groups_sha256", shown).drop("groups"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = pieces.shared(spark.sparkContext)
@@ -197,6 +204,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": op9_source_mixing,
     "op10_secret_scan": op10_secret_scan,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_alignment": op12_token_alignment,
     "op13_sentencepiece": op13_sentencepiece,
 }
 

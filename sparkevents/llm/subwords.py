@@ -58,6 +58,15 @@ class Encoder:
     def spell(self, new: list[bytes]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)]
 
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of every id."""
+        letters, shown = byte_letters(), self.tokenizer.get_vocab(with_added_tokens=False)
+        found = [b""] * (self.tokenizer.get_vocab_size(with_added_tokens=True))
+        for token, i in shown.items():
+            if all(c in letters for c in token):
+                found[i] = bytes(letters[c] for c in token)
+        return found
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's ids begin (one more entry for the end)."""
         raw = [self.raw(t) for t in texts]
@@ -111,6 +120,13 @@ def gathered(flat: np.ndarray, size: np.ndarray, index: np.ndarray) -> tuple[np.
     return flat[place], ends
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [x for x in range(256) if x not in shown]
+    return {chr(x): x for x in shown} | {chr(256 + i): x for i, x in enumerate(hidden)}
+
+
 @cache
 def encoder(vocabulary: bytes) -> Encoder:
     """One encoder for each worker process."""
