@@ -96,7 +96,7 @@ def pack(
     shared = docs.sparkSession.sparkContext.broadcast(subwords.vocabulary_bytes(vocabulary))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = subwords.encoder(shared.value).encode
+        encode = subwords.text_encoder(shared.value).encode
         bins = OpenBins(capacity, open_bins)
         task = TaskContext.get().partitionId() << 32
         for keys, texts in windows(batches):

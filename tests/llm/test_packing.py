@@ -12,22 +12,32 @@ TEXTS = [
 ]
 
 
-def plain():
+def plain(special_as_text=False):
     known = Tokenizer.from_file(subwords.vocabulary_path())
-    known.encode_special_tokens = True
+    if special_as_text:
+        known.encode_special_tokens = True
     return lambda t: known.encode(t or "", add_special_tokens=False).ids
 
 
 def test_encoder_gives_the_tokenizer_s_ids():
-    encode, expected = subwords.encoder(subwords.vocabulary_bytes()).encode, plain()
+    encode, expected = subwords.encoder(subwords.vocabulary_bytes()).encode, plain(True)
     texts = TEXTS + [" ".join(TEXTS), "\n".join(TEXTS), "".join(TEXTS)]
     ids, begin = encode(texts)
     assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == [expected(t) for t in texts]
     assert encode([])[0].size == 0 and encode([""])[1].tolist() == [0, 0]
 
 
+def test_whole_texts_as_the_untouched_tokenizer():
+    encode, expected = subwords.text_encoder(subwords.vocabulary_bytes()).encode, plain()
+    texts = TEXTS + ["hello <|endoftext|> world", "a\n<|endoftext|>\n<|endoftext|>", "".join(TEXTS), " " * 500_000 + "x", "\n \t" * 9000]
+    texts += ["z" * 40_000, "".join(chr(c) for c in range(32, 0x3000))]
+    ids, begin = encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == [expected(t) for t in texts]
+    assert 50256 in expected(texts[len(TEXTS)]) and encode([])[0].size == 0
+
+
 def test_encoder_after_words_with_repeats():
-    encoder, expected = subwords.Encoder(subwords.vocabulary_bytes()), plain()
+    encoder, expected = subwords.Encoder(subwords.vocabulary_bytes()), plain(True)
     for words in (["the", "cat", "the", "cat", "the"], ["a", "mat", "a"], ["the", "lastly", "mat"]):
         pieces, ends = lm.word_pieces(encoder, words, np.arange(len(words)))
         got = [pieces[a:b].tolist() for a, b in zip([0, *ends], ends)]
