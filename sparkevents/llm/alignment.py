@@ -26,6 +26,11 @@ from . import pieces, subwords
 from .common import materialize
 from .packing import windows
 
+#: Distinct stretches whose alignment a worker remembers; beyond it, it starts again.
+REMEMBERED = 300_000
+#: Stretches aligned at a time, and characters in a chunk (one text at least).
+STRETCHES, CHUNK_CHARS = 20_000, 4_000_000
+
 
 def coalesced(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Groups of overlapping intervals, none of them empty: the order of the intervals by start, and for each interval in
@@ -55,7 +60,7 @@ class Sides:
     """The two tokenizers of a worker."""
 
     def __init__(self, vocabulary: bytes, model: pieces.Vocabulary):
-        self.a, self.b = subwords.Encoder(vocabulary), pieces.PieceEncoder(model)
+        self.a, self.b = subwords.TextEncoder(vocabulary), pieces.PieceEncoder(model)
         shown = pieces.Decoder(model)
         self.b_size, self.b_flat = shown.size, shown.flat
         flat = self.a.token_bytes()
@@ -67,21 +72,21 @@ class Sides:
         """Known stretches by number, with the texts of their groups, their links and whether both sides spell them."""
         self.known: dict[bytes, int] = {}
         self.groups: list[str] = []
-        self.sums = np.zeros((0, 4), np.int64)  # tokens of a side, groups, whether the bytes are the stretch's
+        self.sums = np.zeros((4, 0), np.int32)  # tokens of a side, groups, whether the bytes are the stretch's
         self.links, self.n_links = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def numbers(self, found: list[bytes]) -> np.ndarray:
         """The stretches' numbers; new ones are aligned first."""
-        if len(self.known) > subwords.REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self.forget()
         new = [x for x in dict.fromkeys(found) if x not in self.known]
-        if new:
-            self.align(new)
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        for i in range(0, len(new), STRETCHES):
+            self.align(new[i : i + STRETCHES])
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
         return np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
 
     def align(self, new: list[bytes]) -> None:
-        lists = (self.a.spell(new), self.b.spell(new))
+        lists = (self.a.plain(new), self.b.spell(new))
         ids = [np.fromiter((i for x in side for i in x), np.int64) for side in lists]
         sizes = [np.array([len(x) for x in side], np.int64) for side in lists]
         lengths = [self.a_size[ids[0]], self.b_size[ids[1]]]
@@ -111,8 +116,8 @@ class Sides:
         count = np.bincount(stretch[left[together]], minlength=len(new))
         n_groups = np.bincount(stretch[order][np.flatnonzero(np.diff(group, prepend=-1))], minlength=len(new))
         tokens = [np.bincount(x, minlength=len(new)) for x in of]
-        self.sums = np.concatenate((self.sums, np.column_stack((*tokens, n_groups, good))))
-        self.links, self.n_links = np.append(self.links, links), np.append(self.n_links, count)
+        self.sums = np.concatenate((self.sums, np.array([*tokens, n_groups, good], np.int32)), axis=1)
+        self.links, self.n_links = np.append(self.links, links), np.append(self.n_links, count.astype(np.int32))
         self.groups += group_texts(order, group, side, every, stretch, len(new))
 
 
@@ -163,10 +168,9 @@ def chunk(sides: Sides, texts: list[str]) -> dict[str, pa.Array]:
     place = found.indices.to_numpy()
     bounds = np.searchsorted(starts, begin)
     # texts that a side spells otherwise have no tokens
-    sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(sides.sums[distinct][place], axis=0)))
-    own = np.diff(sums[bounds], axis=0)
-    count = np.where(own[:, 3] == np.diff(bounds), np.diff(bounds), 0)
-    own[count == 0] = 0
+    own = [np.diff(np.concatenate(([0], np.cumsum(part[distinct][place], dtype=np.int64)))[bounds]) for part in sides.sums]
+    count = np.where(own[3] == np.diff(bounds), np.diff(bounds), 0)
+    own = [np.where(count > 0, part, 0) for part in own]
     keep = np.arange(int(count.sum())) + np.repeat(bounds[:-1] - (np.cumsum(count) - count), count)
     place, ends = place[keep], np.concatenate(([0], np.cumsum(count)))
     groups = pa.array([sides.groups[i] for i in distinct.tolist()], pa.string()).take(pa.array(place))
@@ -180,7 +184,7 @@ def chunk(sides: Sides, texts: list[str]) -> dict[str, pa.Array]:
     )
     last = pa.array([None] * (len(texts) - 1) + [0] + [len(pairs)], pa.int32())
     return {
-        "n_a": pa.array(own[:, 0]), "n_b": pa.array(own[:, 1]), "n_groups": pa.array(own[:, 2]),
+        "n_a": pa.array(own[0]), "n_b": pa.array(own[1]), "n_groups": pa.array(own[2]),
         "n_links": pa.array(np.diff(to)), "groups": texts_,
         "links": pa.ListArray.from_arrays(pa.array(to.astype(np.int32)), pa.array(link.astype(np.int32))),
         "pairs": pa.ListArray.from_arrays(last, pairs),
@@ -203,7 +207,7 @@ def aligned(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = _sides(*shared.value)
         task = TaskContext.get().partitionId() << 32
-        for number, (keys, texts) in enumerate(windows(batches)):
+        for number, (keys, texts) in enumerate(windows(batches, CHUNK_CHARS)):
             columns = {"doc_id": keys, "chunk": pa.array(np.full(len(texts), task + number)), **chunk(sides, texts)}
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names)
 

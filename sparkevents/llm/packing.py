@@ -124,17 +124,17 @@ def pack(
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text)).mapInArrow(place, schema)
 
 
-def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
+def windows(batches: Iterator[pa.RecordBatch], chars: int = WINDOW_CHARS, most: int = WINDOW_ROWS) -> Iterator[tuple[pa.Array, list[str]]]:
     """Keys and texts of the partition in windows."""
     keys: list[pa.Array] = []
     texts: list[str] = []
     held = 0
     for batch in batches:
         found = [t or "" for t in batch.column(1).to_pylist()]
-        for part in runs(found, WINDOW_CHARS, WINDOW_ROWS):
+        for part in runs(found, chars, most):
             some = found[part]
             size = sum(map(len, some))
-            if texts and (held + size > WINDOW_CHARS or len(texts) + len(some) > WINDOW_ROWS):
+            if texts and (held + size > chars or len(texts) + len(some) > most):
                 yield pa.concat_arrays(keys), texts
                 keys, texts, held = [], [], 0
             keys.append(batch.column(0)[part])

@@ -31,7 +31,7 @@ NORMAL, BYTE, SILENT, UNKNOWN = range(4)
 #: Marks in a table of last tokens: nothing found yet, and a place where a stretch begins.
 NONE, START = -2, -1
 #: Pairs of tokens whose test a worker remembers; beyond it, it starts again.
-REMEMBERED_PAIRS = 2_000_000
+REMEMBERED_PAIRS = 400_000
 
 
 @dataclass(frozen=True, eq=False)
@@ -58,6 +58,8 @@ def load(path: str | None = None) -> Vocabulary:
         [BYTE if model.is_byte(i) else SILENT if model.is_control(i) else UNKNOWN if model.is_unknown(i) else NORMAL
          for i in range(count)], np.int8,
     )
+    if count > 1 << 16:
+        raise ValueError("models of at most 65,536 pieces")
     merges = {p: s for p, s, k in zip(pieces, scores.tolist(), kinds, strict=True) if k == NORMAL}
     whole = np.array([k == NORMAL and len(merged(p, merges)) == 1 for p, k in zip(pieces, kinds, strict=True)])
     return Vocabulary(pieces, scores, kinds, whole, model.eos_id(), model.decode([model.unk_id()]))
@@ -98,13 +100,10 @@ class PrefixTable:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the texts of two tokens, one after the other, are merged into these two."""
-        key = a << 32 | b
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) >= REMEMBERED_PAIRS:
-                self.pairs.clear()
-            pair = [self.pieces[a], self.pieces[b]]
-            found = self.pairs[key] = merged("".join(pair), self.merges) == pair
+        if len(self.pairs) >= REMEMBERED_PAIRS:
+            self.pairs.clear()
+        pair = [self.pieces[a], self.pieces[b]]
+        found = self.pairs[a << 16 | b] = merged("".join(pair), self.merges) == pair
         return found
 
     def last_tokens(self, text: str) -> list[int]:
@@ -114,12 +113,16 @@ class PrefixTable:
             for i, c in enumerate(text, 1):
                 if c not in self.characters:
                     table[i] = START
-        size, compatible = self.size, self.compatible
+        size, known, test = self.size, self.pairs.get, self.compatible
         for place, token in self.automaton.iter(text):
             place += 1
             if table[place] == NONE:
                 before = table[place - size[token]]
-                if before == START or (before != NONE and compatible(before, token)):
+                if before >= 0:
+                    fits = known(before << 16 | token)
+                    if fits or fits is None and test(before, token):
+                        table[place] = token
+                elif before == START:
                     table[place] = token
         return table
 

@@ -63,15 +63,6 @@ class Encoder:
     def spell(self, new: list[bytes]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)]
 
-    def token_bytes(self) -> list[bytes]:
-        """The bytes of every id."""
-        letters, shown = byte_letters(), self.tokenizer.get_vocab(with_added_tokens=False)
-        found = [b""] * (self.tokenizer.get_vocab_size(with_added_tokens=True))
-        for token, i in shown.items():
-            if all(c in letters for c in token):
-                found[i] = bytes(letters[c] for c in token)
-        return found
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's ids begin (one more entry for the end)."""
         raw = [self.raw(t) for t in texts]
@@ -115,24 +106,45 @@ class TextEncoder:
         added = {t["content"]: t["id"] for t in file["added_tokens"]}
         ranks = {bytes(letters[c] for c in t): i for t, i in file["model"]["vocab"].items() if t not in added}
         self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+        self.shown = {i: t for t, i in ranks.items()}
         self.vocabulary = vocabulary
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's ids begin (one more entry for the end)."""
-        lists = [self.slow(t) if len(t) > BLANKS and _BLANKS.search(t) else self.fast.encode(t, allowed_special="all") for t in texts]
+        fast = self.fast.encode
+        lists = [slow(self.vocabulary, t) if blank(t) else fast(t, allowed_special="all") for t in texts]
         begin = np.zeros(len(lists) + 1, np.int64)
         np.cumsum([len(x) for x in lists], out=begin[1:])
         return np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(begin[-1])), begin
 
-    def slow(self, text: str) -> list[int]:
-        return _tokenizer(self.vocabulary).encode(text, add_special_tokens=False).ids
+    def plain(self, texts: list[bytes]) -> list[list[int]]:
+        """The ids of each text; strings of added tokens are ordinary text."""
+        fast, found = self.fast.encode_ordinary, [x.decode() for x in texts]
+        return [slow(self.vocabulary, t, True) if blank(t) else fast(t) for t in found]
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of every id; an added token has none."""
+        return [self.shown.get(i, b"") for i in range(self.fast.max_token_value + 1)]
+
+
+def blank(text: str) -> bool:
+    """Whether a text holds a very long run of white space."""
+    return len(text) >= BLANKS and _BLANKS.search(text) is not None
+
+
+def slow(vocabulary: bytes, text: str, plain: bool = False) -> list[int]:
+    """The ids from the tokenizer itself."""
+    return _tokenizer(vocabulary, plain).encode(text, add_special_tokens=False).ids
 
 
 @cache
-def _tokenizer(vocabulary: bytes):
+def _tokenizer(vocabulary: bytes, plain: bool):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_buffer(vocabulary)
+    found = Tokenizer.from_buffer(vocabulary)
+    if plain:
+        found.encode_special_tokens = True
+    return found
 
 
 def stretches(data: np.ndarray, begin: np.ndarray) -> np.ndarray:

@@ -87,7 +87,7 @@ def test_groups_and_counts(spark, monkeypatch):
 
 
 def test_a_worker_that_forgets(monkeypatch):
-    monkeypatch.setattr(subwords, "REMEMBERED", 4)
+    monkeypatch.setattr(alignment, "REMEMBERED", 4)
     sides = alignment.Sides(subwords.vocabulary_bytes(), pieces.load())
     for text, (n_a, n_b, groups, links) in zip(TEXTS, plain(TEXTS)):
         found = alignment.chunk(sides, [text, "", text])
