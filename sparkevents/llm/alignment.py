@@ -12,7 +12,7 @@ shuffles never hold a row per occurrence.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -79,11 +79,13 @@ class Sides:
         """The stretches' numbers; new ones are aligned first."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        new = [x for x in dict.fromkeys(found) if x not in self.known]
+        numbers = list(map(self.known.get, found))
+        new = list(dict.fromkeys(x for x, n in zip(found, numbers, strict=True) if n is None))
         for i in range(0, len(new), STRETCHES):
             self.align(new[i : i + STRETCHES])
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        return np.fromiter(map(self.known.__getitem__, found), np.int64, len(found))
+        numbers = [self.known[x] if n is None else n for x, n in zip(found, numbers, strict=True)]
+        return np.array(numbers, np.int64)
 
     def align(self, new: list[bytes]) -> None:
         lists = (self.a.plain(new), self.b.spell(new))
@@ -142,7 +144,7 @@ def group_texts(
     return [""] * count
 
 
-@cache
+@lru_cache(1)  # a later query of the same worker takes the place of an earlier one
 def _sides(vocabulary: bytes, model: pieces.Vocabulary) -> Sides:
     return Sides(vocabulary, model)
 

@@ -13,7 +13,7 @@ has no line end), and every distinct stretch is encoded once by a worker that re
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -223,12 +223,12 @@ class Decoder:
         return b"".join(out)[int(blank) :]
 
 
-@cache
+@lru_cache(1)  # a later query of the same worker takes the place of an earlier one
 def _encoder(vocabulary: Vocabulary) -> PieceEncoder:
     return PieceEncoder(vocabulary)
 
 
-@cache
+@lru_cache(1)
 def _decoder(vocabulary: Vocabulary) -> Decoder:
     return Decoder(vocabulary)
 

@@ -6,7 +6,7 @@ import itertools
 import json
 import os
 import re
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -82,13 +82,15 @@ class Encoder:
         """The stretches' numbers; new ones are encoded first. Stretches may be repeated."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        new = [x for x in dict.fromkeys(stretches) if x not in self.known]  # a number is a place in ``size``
+        numbers = list(map(self.known.get, stretches))
+        # a number is a place in ``size``
+        new = list(dict.fromkeys(x for x, n in zip(stretches, numbers, strict=True) if n is None))
         lists = self.spell(new)
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
         size = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(size.sum()))
         self.flat, self.size = np.append(self.flat, flat), np.append(self.size, size)
-        return np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
+        return np.array([self.known[x] if n is None else n for x, n in zip(stretches, numbers, strict=True)], np.int64)
 
 
 class TextEncoder:
@@ -179,7 +181,7 @@ def byte_letters() -> dict[str, int]:
     return {chr(x): x for x in shown} | {chr(256 + i): x for i, x in enumerate(hidden)}
 
 
-@cache
+@lru_cache(1)
 def text_encoder(vocabulary: bytes) -> TextEncoder:
     """One encoder of whole texts for each worker process."""
     return TextEncoder(vocabulary)
