@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import numbers
 from .scalars import let
 
 MESSAGE = "map<string,variant>"
@@ -24,7 +25,8 @@ def variant(c: Column) -> Column:
 
 
 def is_string(v: Column) -> Column:
-    return kind(v) == "STRING"
+    """Whether a value is a string, and not a number kept as text."""
+    return (kind(v) == "STRING") & ~numbers.is_kept(v)
 
 
 def is_object(v: Column) -> Column:
@@ -37,7 +39,7 @@ def is_array(v: Column) -> Column:
 
 def string_value(v: Column) -> Column:
     """Text of a string value, NULL for every other kind."""
-    return F.when(is_string(v), v.cast("string"))
+    return F.when(is_string(v), numbers.text(v))
 
 
 def int32_value(v: Column) -> Column:

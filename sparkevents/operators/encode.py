@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import numbers as N
 from ..functions import variants as V
 from ..functions.scalars import let
 
@@ -33,7 +34,7 @@ def key_sort(m: Column) -> Column:
 
 def encode_json(df: DataFrame, out: str = "value") -> DataFrame:
     """Text of each message as one JSON object with sorted keys."""
-    return df.withColumn(out, F.to_json(V.as_object(F.col("msg"))))
+    return df.withColumn(out, N.json(V.as_object(F.col("msg"))))
 
 
 def leef_escape(text: Column) -> Column:
@@ -42,41 +43,18 @@ def leef_escape(text: Column) -> Column:
     return text
 
 
-def _plain(v: Column, depth: int) -> Column:
-    """Unescaped text of a value inside a list: lists as ``[a b]``, objects as ``map[k:v]``, deeper values as JSON."""
-    scalar = F.when(V.kind(v) == "VOID", F.lit("<nil>")).otherwise(v.cast("string"))
-    if depth == 0:
-        return scalar
-    return (
-        F.when(V.is_array(v), _list_text(v, depth - 1))
-        .when(V.is_object(v), _map_text(v, depth - 1))
-        .otherwise(scalar)
-    )
-
-
-def _list_text(v: Column, depth: int) -> Column:
-    items = F.transform(v.try_cast("array<variant>"), lambda x: _plain(x, depth))
-    return F.concat(F.lit("["), F.array_join(items, " "), F.lit("]"))
-
-
-def _map_text(v: Column, depth: int) -> Column:
-    m = V.as_message(v)
-    items = F.transform(key_sort(m), lambda k: F.concat(k, F.lit(":"), _plain(m[k], depth)))
-    return F.concat(F.lit("map["), F.array_join(items, " "), F.lit("]"))
-
-
 def leef_render(v: Column, list_style: str = "spaced") -> Column:
     """Text of one value: '' for an empty object, JSON for an object, escaped text for strings and numbers.
 
-    Lists print as ``[a b]``; ``list_style='json'`` prints them as JSON instead.
+    Lists print as ``[a b]`` at any depth; ``list_style='json'`` prints them as JSON instead.
     """
-    as_list = F.to_json(v) if list_style == "json" else _list_text(v, 1)
+    as_list = N.json(v) if list_style == "json" else N.spaced(v)
 
     def render(kind: Column) -> Column:
         return (
-            F.when(kind.startswith("OBJECT"), F.regexp_replace(F.to_json(v), r"^\{\}$", ""))
+            F.when(kind.startswith("OBJECT"), F.regexp_replace(N.json(v), r"^\{\}$", ""))
             .when(kind.startswith("ARRAY"), as_list)
-            .otherwise(leef_escape(v.cast("string")))
+            .otherwise(leef_escape(N.text(v)))
         )
 
     return let(V.kind(v), render)
@@ -119,7 +97,7 @@ def leef_net_fields(df: DataFrame) -> DataFrame:
     m = F.col("msg")
     attr = m["ioc_attr"]
     attr_text = V.string_value(attr)
-    parsed = F.from_json(attr_text, V.MESSAGE)
+    parsed = F.from_json(N.keep(attr_text), V.MESSAGE)
     from_attr = net_values(F.when(attr_text.isNotNull(), parsed).otherwise(V.as_message(F.when(V.is_object(attr), attr))))
     is_netconn = V.string_value(m["type"]) == NETCONN_TYPE
     from_event = net_values(m)
@@ -134,7 +112,7 @@ def leef_net_fields(df: DataFrame) -> DataFrame:
 
 def leef_header(m: Column, vendor: str = VENDOR, product: str = PRODUCT) -> Column:
     text = lambda key: F.when(
-        ~V.is_object(m[key]) & ~V.is_array(m[key]) & (V.kind(m[key]) != "BOOLEAN"), m[key].cast("string")
+        ~V.is_object(m[key]) & ~V.is_array(m[key]) & (V.kind(m[key]) != "BOOLEAN"), N.text(m[key])
     )
     kind = F.coalesce(text("type"), F.lit(DEFAULT_TYPE))
     kind = F.when(kind == "ingress.event.procstart", F.lit("ingress.event.process")).otherwise(kind)

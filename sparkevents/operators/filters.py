@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numbers import keep
 from ..functions.variants import MESSAGE
 
 # Setting -> routing keys it stands for.
@@ -106,8 +107,10 @@ def dispatch_content_type(df: DataFrame, raw_exchange: str = RAW_EXCHANGE, out:
 
 
 def parse_json_body(df: DataFrame) -> DataFrame:
-    """Body text to message map; a malformed or non-object body becomes an error row instead of failing the job."""
-    msg = F.from_json(F.col("body").cast("string"), MESSAGE)
+    """Body text to message map; a malformed or non-object body becomes an error row instead of failing the job.
+
+    Numbers whose text parsing would change are kept as they came (``functions.numbers``)."""
+    msg = F.from_json(keep(F.col("body").cast("string")), MESSAGE)
     previous = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
     # a generator of one row keeps filters on the result above it, so the body is parsed once
     one = F.explode(F.array(F.struct(F.when(previous.isNull(), msg).alias("msg")))).alias("_parsed")

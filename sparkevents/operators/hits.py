@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import numbers as N
 from ..functions import scalars as S
 from ..functions import variants as V
 
@@ -173,7 +174,7 @@ def link_rule(base_url: str, fresh: bool = False) -> Rule:
         if fresh:
             new = {**process_guid_rule(r), **parent_guid_rule(r)}
         text = lambda key: F.coalesce(
-            *([new[key].cast("string")] if key in new else []), r.value(key).cast("string")
+            *([new[key].cast("string")] if key in new else []), N.text(r.value(key))
         )
         values = {"link_sensor": url(F.lit("#/host/"), r.int32("sensor_id").cast("string"))}
         for key in MD5_KEYS:

@@ -219,6 +219,30 @@ def messages(d: Dialect) -> str:
     FROM documents"""
 
 
+def exact_hits(d: Dialect) -> str:
+    """One hit per order with numbers that no parsed form prints as they came, and lists and objects up to 12 levels deep.
+
+    Keys are in byte order and without blanks; ``deep_leef`` is the text of the nested value in LEEF."""
+    t = lambda x: f"cast({x} as string)"
+    depth, pairs = "cast(o_orderkey % 13 as int)", "cast(o_orderkey % 5 as int)"
+    return f"""
+    SELECT o_orderkey, ends, power, digits, point, o_orderpriority,
+           repeat('[', {depth}) || '1,' || ends || ',null' || repeat(']', {depth}) AS inner_json,
+           repeat('[', {depth}) || '1 ' || ends || ' <nil>' || repeat(']', {depth}) AS inner_leef,
+           repeat('{{"k":[', {pairs}) || '"a, 1.50 b",' || power || repeat(']}}', {pairs}) AS pairs_json,
+           repeat('map[k:[', {pairs}) || 'a, 1.50 b ' || power || repeat(']]', {pairs}) AS pairs_leef
+    FROM (SELECT o_orderkey, o_orderpriority, {t("o_custkey")} || '.' || {t("o_orderkey % 10")} || '0' AS ends,
+                 '-' || {t("o_custkey")} || CASE WHEN o_orderkey % 2 = 0 THEN 'e' ELSE '.5E+' END || {t("o_orderkey % 30")} AS power,
+                 repeat({t("1 + o_orderkey % 9")}, cast(30 + o_orderkey % 15 as int)) AS digits,
+                 CASE WHEN o_orderkey % 3 = 0 THEN '-0.0' ELSE '3.25' END AS point FROM orders) AS x0"""
+
+
+EXACT_BODY = (
+    "'{\"big\":' || digits || ',\"deep\":[' || inner_json || ',' || pairs_json || '],\"ends\":' || ends || ',\"like\":\"1.10,'"
+    " || chr(92) || '\"2.50' || chr(92) || '\"\",\"o\":{\"p\":' || point || '},\"power\":' || power || ',\"who\":\"' || o_orderpriority || '\"}'"
+)
+
+
 def deliveries(d: Dialect) -> str:
     """One delivery attempt per order."""
     return f"""
@@ -266,6 +290,7 @@ CARRIERS: dict[str, tuple[Callable[[Dialect], str], tuple[str, ...]]] = {
     "string_table": (string_table, ("part",)),
     "ips": (ips, ("customer",)),
     "messages": (messages, ("documents",)),
+    "exact_hits": (exact_hits, ("orders",)),
     "deliveries": (deliveries, ("orders",)),
     "two_outputs": (two_outputs, ("orders",)),
     "audit_lines": (audit_lines, ("conversations",)),

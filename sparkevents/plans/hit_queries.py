@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import variants as V
 from ..operators import encode, filters, hits
 from ..sources.audit import audit_events
+from . import carriers
 from .carriers import RAW_EXCHANGE
 from .registry import Tables, query, text, texts
 
@@ -409,6 +410,29 @@ def encode_json(t: Tables):
     )
 
 
+def exact_events(t: Tables):
+    hit = t.view("exact_hits").select("o_orderkey", F.expr(carriers.EXACT_BODY).alias("body"))
+    return filters.reject_errors(filters.parse_json_body(hit))[0]
+
+
+@query("number_text_json", f"SELECT o_orderkey, {carriers.EXACT_BODY} AS value FROM exact_hits", ("exact_hits",))
+def number_text_json(t: Tables):
+    """Numbers of any text come out as they came in."""
+    return encode.encode_json(exact_events(t)).select("o_orderkey", "value")
+
+
+@query(
+    "leef_any_depth",
+    """SELECT o_orderkey, concat_ws(chr(9), 'LEEF:1.0|CB|CB|5.1|unknown.event.type|big=' || digits,
+              'deep=[' || inner_leef || ' ' || pairs_leef || ']', 'ends=' || ends, 'like=1.10,"2.50"',
+              'o={"p":' || point || '}', 'power=' || power, 'who=' || o_orderpriority) AS value FROM exact_hits""",
+    ("exact_hits",),
+)
+def leef_any_depth(t: Tables):
+    """Numbers as they came in and nested values at any depth."""
+    return encode.encode_leef(exact_events(t)).select("o_orderkey", "value")
+
+
 @query(
     "key_sort",
     "SELECT event_id, (SELECT string_agg(k, ',' ORDER BY k) FROM unnest(json_keys(body)) AS u(k)) AS keys FROM bus_hits",
