@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import bundles, filters
-from ..sources import audit
+from ..sources import audit, tail
 from ..sources.envelope import read_envelope
 from ..streaming import flows, packing
 from . import carriers, hit_queries, output_queries
@@ -114,6 +119,39 @@ def tail_audit_logs(t: Tables):
     return rows.groupBy("message", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def grow_logs(lines: DataFrame, folder: str) -> None:
+    """Write lines ``(log, message)`` to the logs ``<folder>/<log>/part-<task>``: a log that is there already keeps its
+    beginning and gets what follows, also if a task runs again."""
+
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, files = TaskContext.get().partitionId(), {}
+        for pdf in frames:
+            for log, text in zip(pdf["log"], pdf["message"], strict=True):
+                if log not in files:
+                    os.makedirs(f"{folder}/{log}", exist_ok=True)
+                    path = f"{folder}/{log}/part-{number}"
+                    files[log] = open(path, "r+b" if os.path.exists(path) else "wb")
+                files[log].write(f"{text}\n".encode())
+        for f in files.values():
+            f.close()
+        yield pd.DataFrame({"n": [len(files)]})
+
+    lines.select("log", "message").mapInPandas(write, "n long").agg(F.sum("n")).collect()
+
+
+@query("stream_tail_audit", AUDIT_SQL, ("audit_lines",))
+def stream_tail_audit(t: Tables):
+    """Logs that grow between two runs of the stream; the second goes on where the first ended."""
+    folder, out, checkpoint = t.scratch("logs").removeprefix("file:"), t.scratch("followed"), t.scratch("followed-checkpoint")
+    lines = t.view("audit_lines").filter("message <> ''").withColumn("late", F.col("turn") % 3)
+    lines = lines.repartition(t.spark.sparkContext.defaultParallelism, "conv_id").sortWithinPartitions("late", "conv_id", "message")
+    for late in range(3):
+        grow_logs(lines.filter(F.col("late") <= late), folder)
+        stream = tail.stream_tail_audit(t.spark, folder, "beginning", range_bytes=1 << 20)
+        written = flows.run_to_table(stream, out, checkpoint)
+    return written.groupBy("message", "type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "stream_envelope",
     "SELECT event_type AS routing_key, count(*) AS n, cast(sum(strlen(props)) AS BIGINT) AS n_bytes FROM events GROUP BY event_type",
