@@ -181,18 +181,19 @@ def write_compressed(t: Tables):
 # ---- packing ---------------------------------------------------------------------------------------------------------
 
 
-def packing_ctes(limit: int, mode: str) -> str:
-    """Sequential packing as a recursive query: ``r(source, doc_id, rn, cur, b)``."""
+def packing_ctes(limit: int, mode: str, worker: str = "0") -> str:
+    """Sequential packing per source and worker as a recursive query: ``r(source, w, doc_id, rn, cur, b)``."""
     if mode == bundles.GREEDY:
         opens = f"r.cur + m.len > {limit}"
     else:
         opens = f"r.cur >= {limit}"
-    return f"""m AS (SELECT source, doc_id, strlen(value) AS len, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn
+    return f"""m AS (SELECT source, {worker} AS w, doc_id, strlen(value) AS len,
+               row_number() OVER (PARTITION BY source, {worker} ORDER BY doc_id) AS rn
         FROM messages WHERE value <> ''),
-    r AS (SELECT source, doc_id, rn, len AS cur, 0::BIGINT AS b FROM m WHERE rn = 1
-          UNION ALL SELECT m.source, m.doc_id, m.rn, CASE WHEN {opens} THEN m.len ELSE r.cur + m.len END,
+    r AS (SELECT source, w, doc_id, rn, len AS cur, 0::BIGINT AS b FROM m WHERE rn = 1
+          UNION ALL SELECT m.source, m.w, m.doc_id, m.rn, CASE WHEN {opens} THEN m.len ELSE r.cur + m.len END,
                            CASE WHEN {opens} THEN b + 1 ELSE b END
-          FROM r JOIN m ON m.source = r.source AND m.rn = r.rn + 1)"""
+          FROM r JOIN m ON m.source = r.source AND m.w = r.w AND m.rn = r.rn + 1)"""
 
 
 def packed(t: Tables, mode: str = bundles.GREEDY, limit: int = MAX_BYTES, **options):

@@ -88,6 +88,23 @@ def stream_pack_bundles(t: Tables):
     return drained(t, rows.select("source", "doc_id", "bundle_no"), "packed")
 
 
+@query(
+    "stream_pack_bundles_workers",
+    "SELECT m0.source, r.w AS worker, m0.doc_id, r.b AS bundle_no, md5(m0.value) AS digest FROM r JOIN messages m0 ON m0.doc_id = r.doc_id",
+    ("messages",), packing_ctes(MAX_BYTES, "greedy", "doc_id % 3"), True,
+)
+def stream_pack_bundles_workers(t: Tables):
+    """Three packers per source over sizes only; the texts are joined back to the bundles."""
+    packing.use_rocksdb(t.spark)
+    docs = streamed(t, "documents")
+    messages = carriers.from_frame(t.spark, carriers.messages(carriers.Spark), {"documents": docs})
+    rows = packing.stream_pack_bundles(
+        messages, ["source"], "doc_id", MAX_BYTES, worker=(F.col("doc_id") % 3).cast("int"), closings=True
+    )
+    found = packing.with_texts(t.view("messages"), drained(t, rows, "packed-sizes"), ["source"], "doc_id")
+    return found.select("source", F.col("worker").cast("bigint").alias("worker"), "doc_id", "bundle_no", F.md5("value").alias("digest"))
+
+
 @query("stream_deliver", QUERIES["deliver"].sql)
 def stream_deliver(t: Tables):
     """Payloads written as files, streamed to a stub endpoint; returns the ledger."""

@@ -51,6 +51,44 @@ def test_packing_over_workers_keeps_every_record(spark, tmp_path):
     assert found.groupBy("worker", "bundle_no").count().filter("count > 2").count() == 0
 
 
+def test_closings_by_size(spark, tmp_path):
+    source = str(tmp_path / "in")
+    sizes = {"a": [4, 4, 4, 9, 2], "b": [1]}
+    write(spark, source, [(k, i, "x" * s) for k, v in sizes.items() for i, s in enumerate(v)])
+    for mode, expected in (("greedy", [(0, 2, 8), (1, 1, 4), (2, 1, 9)]), ("fill", [(0, 3, 12), (1, 2, 11)])):
+        stream = spark.readStream.schema("k string, n long, value string").parquet(source)
+        packed = packing.stream_pack_bundles(stream, ["k"], "n", 10, mode, closings=True)
+        found = drain(packed, str(tmp_path / mode), str(tmp_path / f"cp-{mode}"))
+        assert rows(found.filter("closed = 'size' and n is null"), "bundle_no", "n_events", "n_bytes") == expected
+        assert found.filter("closed is null").count() == 6
+        texts = spark.read.parquet(source)
+        back = packing.with_texts(texts, found, ["k"], "n")
+        batch = bundles.pack_bundles(texts, "k", "n", 10, mode)
+        assert rows(back, "k", "n", "value", "bundle_no") == rows(batch, "k", "n", "value", "bundle_no")
+
+
+def test_a_quiet_key_s_bundle_closes_by_timer(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write(spark, source, [("a", 0, "xx"), ("a", 1, "y"), ("b", 0, "z")])
+    stream = spark.readStream.schema("k string, n long, value string").parquet(source)
+    packed = packing.stream_pack_bundles(stream, ["k"], "n", 1000, max_age_seconds=2, timers=True, keep_empty=True, closings=True)
+    query = (
+        packed.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(processingTime="500 milliseconds").start(out)
+    )
+    try:
+        until = time.time() + 60
+        while time.time() < until:
+            found = spark.read.schema(packed.schema).parquet(out) if list((tmp_path / "out").glob("*.parquet")) else None
+            if found is not None and found.filter("closed = 'empty'").count() >= 2:
+                break
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert rows(found.filter("closed = 'age'"), "k", "bundle_no", "n_events", "n_bytes") == [("a", 0, 2, 3), ("b", 0, 1, 1)]
+    assert {(r["k"], r["bundle_no"], r["n_events"]) for r in found.filter("closed = 'empty'").collect()} >= {("a", 1, 0), ("b", 1, 0)}
+
+
 def test_failed_bundles_are_sent_with_later_batches(spark, tmp_path):
     source, ledger = str(tmp_path / "in"), str(tmp_path / "ledger")
     schema = "bundle_id string, payload string"
