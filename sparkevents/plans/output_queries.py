@@ -243,6 +243,37 @@ def write_chunks(t: Tables):
     return grouped.withColumn("object_key", bundles.chunk_key(name, stamp, F.col("chunk_no") % 2, "out"))
 
 
+OBJECT_BYTES, OBJECT_SECONDS = 30_000, 100_000
+
+
+@query(
+    "write_objects",
+    """SELECT event_type, b AS chunk_no, 'events.' || event_type || '.' || strftime(make_timestamp(opened), '%Y-%m-%dT%H:%M:%S.%g')
+              || '-' || cast(b % 3 AS VARCHAR) || '.json' AS object, count(*) AS n, cast(sum(len) AS BIGINT) AS n_bytes,
+              md5(string_agg(body, chr(10) ORDER BY rn)) AS digest
+       FROM r GROUP BY ALL""",
+    ("bus_hits",),
+    f"""m AS (SELECT event_type, us, body, strlen(body) AS len, row_number() OVER (PARTITION BY event_type ORDER BY us, event_id) AS rn
+        FROM bus_hits),
+    r AS (SELECT event_type, us, body, len, rn, len AS cur, us AS opened, 0::BIGINT AS b FROM m WHERE rn = 1
+          UNION ALL
+          SELECT m.event_type, m.us, m.body, m.len, m.rn, CASE WHEN ends THEN m.len ELSE r.cur + m.len END,
+                 CASE WHEN ends THEN m.us ELSE r.opened END, CASE WHEN ends THEN b + 1 ELSE b END
+          FROM r JOIN m ON m.event_type = r.event_type AND m.rn = r.rn + 1,
+               LATERAL (SELECT r.cur >= {OBJECT_BYTES} OR m.us >= r.opened + {OBJECT_SECONDS}000000 AS ends) AS e)""",
+    True,
+)
+def write_objects(t: Tables):
+    """Chunks closed by size or age, whichever comes first; names, records and their order as written."""
+    path = t.scratch("objects")
+    hits = t.view("bus_hits").select("event_type", "event_id", F.timestamp_micros("us").alias("ts"), F.col("body").alias("value"))
+    sinks.write_objects(hits, path, "event_type", "event_id", OBJECT_BYTES, "ts", OBJECT_SECONDS, prefix="out", workers=3)
+    found = t.spark.read.schema("value string, event_type string, chunk_no bigint, object string").text(path, wholetext=True)
+    body = F.rtrim(F.col("value"), F.lit("\n"))
+    n = F.size(F.split(body, "\n")).cast("bigint")
+    return found.select("event_type", "chunk_no", "object", n.alias("n"), (F.octet_length(body) - n + 1).cast("bigint").alias("n_bytes"), F.md5(body).alias("digest"))
+
+
 @query(
     "event_seq",
     "SELECT source, doc_id, b AS bundle_no, row_number() OVER (PARTITION BY source, b ORDER BY doc_id) - 1 AS event_seq FROM r",
