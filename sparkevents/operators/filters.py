@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import keep
 from ..functions.variants import MESSAGE
+from ..session import written
 
 # Setting -> routing keys it stands for.
 SUBSCRIPTION_GROUPS = {
@@ -76,17 +77,63 @@ def subscribe_filter(df: DataFrame, patterns: list[str]) -> DataFrame:
     return df.filter(matches_any(F.col("routing_key"), patterns))
 
 
+def topic_trie(patterns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Patterns as a trie: edges ``(node, word, next)``, and ``(node, to)`` for all nodes that are reached from a node without
+    a word, itself included. A node is named by the words that lead to it; the root is empty."""
+    words = F.split("pattern", r"\.")
+    step = F.posexplode(words).alias("at", "word")
+    steps = patterns.select("pattern", words.alias("words"), step)
+    prefix = lambda n: F.array_join(F.slice("words", 1, n), ".")
+    edges = steps.select(
+        F.when(F.col("at") == 0, F.lit("")).otherwise(prefix(F.col("at"))).alias("node"), "word", prefix(F.col("at") + 1).alias("next")
+    ).distinct()
+    # a node leads on by the run of ``#`` edges behind it
+    hashes = F.expr("size(filter(words, (w, i) -> i >= at and forall(slice(words, at + 1, i - at + 1), x -> x = '#')))")
+    runs = steps.filter("word = '#'").select(
+        F.when(F.col("at") == 0, F.lit("")).otherwise(prefix(F.col("at"))).alias("node"), "words", "at", hashes.alias("run")
+    )
+    runs = runs.select("node", F.explode(F.transform(F.sequence(F.lit(1), "run"), lambda n: prefix(F.col("at") + n))).alias("to"))
+    nodes = edges.select("next").union(edges.select("node")).distinct()
+    return edges, runs.union(nodes.select("next", "next")).distinct()
+
+
+def matching_keys(keys: DataFrame, patterns: DataFrame) -> DataFrame:
+    """The routing keys (a column ``routing_key`` without repeats) that match a pattern, by walking all of them through the
+    trie at once: one equi join per word of the longest key, on a node and a word."""
+    edges, free = (written(part, "trie") for part in topic_trie(patterns.select("pattern").distinct()))
+    words = F.split("routing_key", r"\.")
+    longest = keys.agg(F.max(F.size(words))).first()[0] or 0
+    ends = patterns.select(F.col("pattern").alias("node")).distinct()
+    keys = written(keys.filter("routing_key IS NOT NULL"), "topics")
+    # all keys begin at the root and behind the run of ``#`` that patterns begin with, no longer than a pattern
+    roots = [r["to"] for r in free.filter("node = ''").select("to").collect()] or [""]
+    states = keys.withColumn("node", F.explode(F.array(*[F.lit(r) for r in roots])))
+    free = free.withColumnsRenamed({"node": "of"})
+    everything = not patterns.filter("pattern = '#'").isEmpty()
+    found = keys.filter(F.lit(everything))
+    for at in range(longest + 1):
+        if at:
+            states = states.join(free, F.col("node") == F.col("of")).select("routing_key", F.col("to").alias("node")).distinct()
+        if at % 4 == 3:  # the plan starts anew from a table
+            states = written(states, "topics")
+        found = found.union(states.filter(F.size(words) == at).join(ends, "node", "left_semi").select("routing_key"))
+        word = F.get(words, F.lit(at))
+        going = states.filter(F.size(words) > at).withColumn("word", word)
+        ways = F.array(F.col("word"), F.when(F.col("word") != "", F.lit("*")))
+        over = going.select("routing_key", "node", F.explode(ways).alias("word")).filter("word NOT IN ('#')").join(edges, ["node", "word"])
+        stay = going.filter((F.substring_index("node", ".", -1) == "#") & (F.col("word") != "")).select("routing_key", "node")
+        states = over.select("routing_key", F.col("next").alias("node")).union(stay)
+    return found.distinct()
+
+
 def subscribe_join(df: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Semi join of messages to a pattern table (``pattern_table``), in one pass over the messages.
+    """Semi join of messages to a table of topic patterns (column ``pattern``).
 
-    Patterns with a literal first word are an equi join on that word with the regex as residual condition. Those that
-    start with a wildcard concern every message and are tested one by one.
+    The distinct routing keys are matched (``matching_keys``), so the work grows with the keys and not with their product
+    with the patterns, wherever the wildcards are. For a stream, or few patterns, take ``subscribe_filter``.
     """
-    key = F.col("routing_key").outer()
-    matches = F.regexp_like(key, F.col("regex"))
-    wild = F.col("first_word").isin("*", "#")
-    worded = patterns.where(~wild & (F.col("first_word") == F.substring_index(key, ".", 1)) & matches)
-    return df.where(worded.exists() | patterns.where(wild & matches).exists())
+    keys = df.select("routing_key").distinct()
+    return df.join(matching_keys(keys, patterns), "routing_key", "left_semi").select(*df.columns)
 
 
 def dispatch_content_type(df: DataFrame, raw_exchange: str = RAW_EXCHANGE, out: str = "route") -> DataFrame:
