@@ -239,17 +239,28 @@ def time_bundles(df: DataFrame, every: str = DEFAULT_EVERY, ts: str = "ingest_ts
     )
     if not keep_empty:
         return counted
-    span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).select(
-        F.window("lo", every)["start"].alias("lo"), "hi"
-    )
-    slots = span.filter("lo is not null").select(
-        F.explode(F.sequence("lo", "hi", F.expr(f"interval {every}"))).alias("bundle_start")
-    )
-    return slots.join(counted, "bundle_start", "left").select(
-        "bundle_start",
-        F.coalesce("n_events", F.lit(0).cast("bigint")).alias("n_events"),
-        F.coalesce("n_bytes", F.lit(0).cast("bigint")).alias("n_bytes"),
-    )
+    width = F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"interval {every}"))
+    none = F.lit(0).cast("bigint")
+    empty = _gaps(counted.select((F.unix_micros("bundle_start") / width).cast("bigint").alias("slot")))
+    empty = empty.select(F.timestamp_micros(F.col("slot") * width).alias("bundle_start"), none.alias("n_events"), none.alias("n_bytes"))
+    return counted.unionByName(empty)
+
+
+def _gaps(occupied: DataFrame, block: int = 4096, run: int = 10_000) -> DataFrame:
+    """The numbers missing between the smallest and the largest ``slot``.
+
+    Each slot looks for its successor in its block, the last one of a block takes the first of the next block. Gaps are cut
+    into runs of bounded length before they are listed, so a clock that is years off is spread over tasks.
+    """
+    slots = occupied.withColumn("block", F.floor(F.col("slot") / block))
+    firsts = slots.groupBy("block").agg(F.min("slot").alias("first"))
+    firsts = firsts.select("block", F.lead("first").over(Window.orderBy("block")).alias("behind"))  # a row per block
+    inside = F.lead("slot").over(Window.partitionBy("block").orderBy("slot"))
+    after = slots.withColumn("next", inside).join(firsts, "block").select("slot", F.coalesce("next", "behind").alias("next"))
+    gaps = after.filter(F.col("next") > F.col("slot") + 1)
+    runs = gaps.select(F.explode(F.sequence(F.col("slot") + 1, F.col("next") - 1, F.lit(run).cast("bigint"))).alias("begin"), "next")
+    runs = runs.repartition("begin")
+    return runs.select(F.explode(F.sequence("begin", F.least(F.col("begin") + run - 1, F.col("next") - 1))).alias("slot"))
 
 
 def bundle_summary(df: DataFrame, bundle: list[str], text: str = "value") -> DataFrame:

@@ -213,10 +213,8 @@ def ips(d: Dialect) -> str:
 
 
 def messages(d: Dialect) -> str:
-    """One text record per document; line breaks escaped, some records empty."""
-    return """
-    SELECT doc_id, source, lang, CASE WHEN doc_id % 41 = 0 THEN '' ELSE replace(replace(text, chr(13), ' '), chr(10), ' ') END AS value
-    FROM documents"""
+    """One text record per document, on one line."""
+    return "SELECT doc_id, source, lang, replace(replace(text, chr(13), ' '), chr(10), ' ') AS value FROM documents"
 
 
 def exact_hits(d: Dialect) -> str:

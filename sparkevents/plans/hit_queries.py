@@ -110,9 +110,11 @@ def reject_errors(t: Tables):
     return filters.error_counts(parsed)
 
 
-@query("nonempty_filter", "SELECT doc_id, md5(value) AS digest FROM messages WHERE strlen(value) > 0", ("messages",))
+@query("nonempty_filter", "SELECT doc_id, md5(value) AS digest FROM messages WHERE strlen(value) > 0 AND doc_id % 41 <> 0", ("messages",))
 def nonempty_filter(t: Tables):
-    return filters.nonempty_filter(t.view("messages")).select("doc_id", F.md5("value").alias("digest"))
+    """Some of the records are made empty here."""
+    some = t.view("messages").withColumn("value", F.when(F.col("doc_id") % 41 == 0, "").otherwise(F.col("value")))
+    return filters.nonempty_filter(some).select("doc_id", F.md5("value").alias("digest"))
 
 
 @query(

@@ -129,6 +129,16 @@ def test_time_bundles_with_empty_ones(spark):
     assert [r["n_events"] for r in found.orderBy("bundle_start").collect()] == [1, 0, 0, 1]
 
 
+def test_a_clock_years_off(spark):
+    far = 50 * 365 * 86400
+    df = spark.createDataFrame([(-400, "a"), (0, "b"), (299, "c"), (far, "d"), (None, "e")], "s long, value string")
+    found = bundles.time_bundles(df.withColumn("ingest_ts", F.timestamp_seconds("s")), "5 minutes", keep_empty=True)
+    counts = found.agg(F.count("*"), F.countDistinct("bundle_start"), F.sum("n_events"), F.sum((F.col("n_events") == 0).cast("int"))).first()
+    slots = far // 300 + 3
+    assert tuple(counts) == (slots, slots, 4, slots - 3)
+    assert bundles.time_bundles(df.limit(0).withColumn("ingest_ts", F.timestamp_seconds("s")), keep_empty=True).count() == 0
+
+
 def test_chunk_key(spark):
     key = bundles.chunk_key(F.lit("events"), F.lit("2024-01-02 03:04:05").cast("timestamp"), F.lit(1), "p", ".gz")
     assert spark.range(1).select(key).first()[0] == "p/events.2024-01-02T03:04:05.000-1.gz"
