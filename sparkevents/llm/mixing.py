@@ -76,7 +76,14 @@ def mix(
     Ranks come in three levels, so that neither a source nor a size must fit one task: bins of sizes within the source,
     sizes and hash groups within the bin (from counts), rows within the hash group.
     """
-    docs = docs.drop("mix")
+    names = docs.drop("mix").columns
+    places = {c: f"c{i}_" for i, c in enumerate(names)}  # no name of the table meets one of a helper
+    given = docs.select(*names).toDF(*places.values())
+    mixed = _mixed(given, places[text], places[source], places[key], weights, most, seed)
+    return mixed.toDF(*names, "mix")
+
+
+def _mixed(docs: DataFrame, text: str, source: str, key: str, weights: tuple[int, ...], most: int, seed: int) -> DataFrame:
     s, z, g = fresh(docs, "source_key"), fresh(docs, "size_key"), fresh(docs, "group_key")
     named = F.when(F.col(source).isNull(), "1").otherwise(F.concat(F.lit("0"), F.col(source)))  # null last, never null
     rows = docs.withColumns({s: named, z: word_count(F.col(text))})
@@ -136,4 +143,5 @@ def emit(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: every row as often as ``mix`` takes it, with the columns of ``docs``."""
     mixed = mix(docs, **options)
     copies = F.explode(F.expr("sequence(1, cast(mix.copies as int))"))
-    return mixed.filter("mix.copies > 0").select(*[c for c in mixed.columns if c != "mix"], copies.alias("copy_")).drop("copy_")
+    number = fresh(mixed, "copy_")
+    return mixed.filter("mix.copies > 0").select(*[c for c in mixed.columns if c != "mix"], copies.alias(number)).drop(number)

@@ -197,11 +197,11 @@ def classes(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id (of equal ids, of the text with the lowest hash)."""
-    name = fresh(docs, "text_hash")
+    name, kept_id, kept_hash = (fresh(docs, c) for c in ("text_hash", "kept_id", "kept_hash"))
     hashed = F.xxhash64(F.col(text))
     marked = with_fingerprint(docs.select(F.col(key).alias("doc_id"), text, hashed.alias(name)), text, width=width)
     low = classes(marked, radius).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", name)).alias("m"))
-    kept = low.select(F.col("m.doc_id").alias("kept_id"), F.col(f"m.{name}").alias("kept_hash"))
+    kept = low.select(F.col("m.doc_id").alias(kept_id), F.col(f"m.{name}").alias(kept_hash))
     rows = docs.withColumn(name, hashed)
-    match = F.col(key).eqNullSafe(F.col("kept_id")) & (F.col(name) == F.col("kept_hash"))
+    match = F.col(key).eqNullSafe(F.col(kept_id)) & (F.col(name) == F.col(kept_hash))
     return rows.join(kept, match, "left_semi").dropDuplicates([key, name]).drop(name)
