@@ -90,7 +90,8 @@ def deliver_batch(spark: SparkSession, bundles: DataFrame, ledger_path: str, pos
     queue = lambda n: f"{ledger_path}-retry/{n}"
     keyed = bundles.withColumn("bundle_id", F.col("bundle_id").cast("string"))
     left = read_if_there(spark, queue(number - 1), "bundle_id string, payload string")
-    todo = pending(keyed.select("bundle_id", "payload"), read_ledger(spark, ledger_path)).unionByName(left)
+    # a batch that runs again finds in the ledger what it already sent, of the queue as of its own bundles
+    todo = pending(keyed.select("bundle_id", "payload").unionByName(left), read_ledger(spark, ledger_path))
     todo = todo.dropDuplicates(["bundle_id"])
     attempts = f"{ledger_path}-attempts/{number}"
     deliver(todo, post_fn, **options).write.mode("overwrite").parquet(attempts)
