@@ -23,6 +23,7 @@ from ..functions.scalars import event_text, fill_template
 from ..functions.structs import arrow_schema
 from ..session import shared_dir
 from .ordered import ROWS_PER_SEGMENT, as_number, segment_of, split_points
+from .templates import Node, compiled, parse
 
 GREEDY = "greedy"
 FILL = "fill"
@@ -286,13 +287,14 @@ def chunk_key(name: Column, stamp: Column, worker: Column, prefix: str | None =
 EVENT_MARK = "{events}"
 
 
-def payloads(df: DataFrame, bundle: list[str], order: str, template: str, separator: str = "", terminator: str = "",
-             wrap: tuple[str, str] = ("", ""), file_name: Column | None = None, as_base64: bool = False,
+def payloads(df: DataFrame, bundle: list[str], order: str, template: str | tuple[Node, ...], separator: str = "",
+             terminator: str = "", wrap: tuple[str, str] = ("", ""), file_name: Column | None = None, as_base64: bool = False,
              text: str = "value", out: str = "payload") -> DataFrame:
     """One request body per bundle.
 
-    ``template`` may hold ``{filename}`` and ``{events}``. ``separator`` goes in front of all events but the first and
-    ``terminator`` after each; both are part of the text that ``as_base64`` encodes. ``wrap`` goes around the result.
+    ``template`` may hold ``{filename}`` and ``{events}``, or is a parsed post template (``templates.parse``), whose file
+    size is that of the bundle's lines. ``separator`` goes in front of all events but the first and ``terminator`` after
+    each; both are part of the text that ``as_base64`` encodes. ``wrap`` goes around the result.
     """
     rows = event_seq(df, bundle, order, text)
     event = F.when(F.col("event_seq") > 0, F.concat(F.lit(separator), F.col(text))).otherwise(F.col(text))
@@ -301,15 +303,26 @@ def payloads(df: DataFrame, bundle: list[str], order: str, template: str, separa
     collected = rows.groupBy(*bundle).agg(
         F.count(F.lit(1)).alias("n_events"),
         F.array_sort(F.collect_list(F.struct("event_seq", event.alias("text")))).alias("_events"),
+        F.sum(F.octet_length(text).cast("bigint") + 1).alias("_size"),
     )
-    events = F.array_join(F.transform("_events", lambda e: e["text"]), "")
     name = file_name if file_name is not None else F.concat_ws("-", *[F.col(b).cast("string") for b in bundle])
+    if not isinstance(template, str):
+        body = compiled(template, F.col("_events"), FileName=name, FileSize=F.col("_size"))
+        return collected.select(*bundle, "n_events", body.alias(out))
+    events = F.array_join(F.transform("_events", lambda e: e["text"]), "")
     return collected.select(*bundle, "n_events", fill_template(template, filename=name, events=events).alias(out))
 
 
 def http_payload(df: DataFrame, bundle: list[str], order: str, service: str = "events", template: str | None = None,
-                 leef: bool = False, **options) -> DataFrame:
-    """Request bodies for a web endpoint: a JSON object with an ``alerts`` list, or plain lines for LEEF."""
+                 leef: bool = False, post_template: str | None = None, comma_separate: bool | None = None, **options) -> DataFrame:
+    """Request bodies for a web endpoint: a JSON object with an ``alerts`` list, or plain lines for LEEF.
+
+    ``post_template`` is a template with ``{{...}}`` actions instead. Its events have a comma and a line break in front, as
+    in the default, or a line break behind where ``comma_separate`` is off, as it is for LEEF.
+    """
+    if post_template is not None:
+        marks = {"separator": "\n, "} if (not leef if comma_separate is None else comma_separate) else {"terminator": "\n"}
+        return payloads(df, bundle, order, parse(post_template), **marks, **options)
     if leef:
         return payloads(df, bundle, order, template or EVENT_MARK, terminator="\n", **options)
     default = '{"filename": "{filename}", "service": "' + service + '", "alerts":[{events}]}'
