@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .filters import RAW_EXCHANGE
@@ -102,3 +102,11 @@ def avg_processing_time(df: DataFrame, took: str, by: list[str] | None = None) -
     """Mean and count of a timing column."""
     return df.groupBy(*(by or [])).agg(F.count(took).alias("n"), F.avg(took).alias("avg_time"))
 
+
+
+def observed(df: DataFrame, name: str | Observation, **columns: str) -> DataFrame:
+    """``df`` that reports ``throughput_stats`` of the rows passing by, without a second pass over them.
+
+    A batch hands them to an ``Observation`` once an action has run; a stream reports them per micro-batch under ``name``.
+    """
+    return df.observe(name, *throughput_columns(**columns))

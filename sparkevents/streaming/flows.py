@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators import encode, filters, hits, stats
 from ..operators.delivery import PostFn, deliver_batch
@@ -33,6 +33,32 @@ def stream_rates(messages: DataFrame, every: str = "1 minute", late: str = "10 m
     return stats.rate_stats(messages.withWatermark("ingest_ts", late), every=every)
 
 
+class Throughput(StreamingQueryListener):
+    """Totals of the metrics that a stream made with ``stats.observed`` reports, over its micro-batches.
+
+    Add it with ``spark.streams.addListener`` before the stream starts. It keeps a number a metric on the driver; reports
+    arrive shortly after their batch, and a batch that ran again is counted once.
+    """
+
+    def __init__(self, name: str):
+        self.name, self.totals, self.latest = name, {}, {}
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        row = progress.observedMetrics.get(self.name)
+        if row is None or progress.batchId <= self.latest.get(progress.id, -1):
+            return
+        self.latest[progress.id] = progress.batchId
+        for metric, value in row.asDict().items():
+            self.totals[metric] = self.totals.get(metric, 0) + (value or 0)
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+
 def stream_replay_files(messages: DataFrame, n: int) -> DataFrame:
     """File stream in which every message is sent ``n`` times."""
     return replay(messages, n)
