@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from ..operators import bundles, delivery, diff, encode, filters, sinks, stats
+from ..operators import bundles, delivery, diff, encode, filters, meters, sinks, stats
 from ..sources.envelope import read_envelope, read_json_lines_export, read_routing_dirs, replay
 from .carriers import RAW_EXCHANGE
 from .hit_queries import IS_OBJECT, J
@@ -118,6 +119,21 @@ def capture_raw(t: Tables):
     return sinks.capture_raw(t.view("bus_hits"), None, "event_id", rows_per_segment=50_000).select("event_id", "file")
 
 
+@query(
+    "capture_raw_files",
+    """SELECT 'json/' || routing_key || '/' || cast(row_number() OVER (PARTITION BY routing_key ORDER BY event_id) - 1 AS VARCHAR)
+              || '.json' AS file, md5(body) AS digest FROM bus_hits""",
+    ("bus_hits",),
+)
+def capture_raw_files(t: Tables):
+    """Captured bodies as they lie in the folder."""
+    path = t.scratch("captured")
+    sinks.capture_raw(t.view("bus_hits"), path, "event_id", rows_per_segment=50_000)
+    found = t.spark.read.schema("n bigint, body string, mime string, routing_key string").parquet(path)
+    name = F.concat_ws("/", "mime", "routing_key", F.concat_ws(".", "n", "mime"))
+    return found.select(name.alias("file"), F.md5("body").alias("digest"))
+
+
 @query(
     "quarantine",
     f"""SELECT event_id, 'bundle-' || upper(md5(body)) AS file, 'body is not a JSON object' AS error FROM bus_bad
@@ -331,6 +347,27 @@ def http_payload_leef(t: Tables):
     return _digest(bundles.http_payload(packed(t), ["source", "bundle_no"], "doc_id", leef=True))
 
 
+POST_TEMPLATE = """{{/* a body with its size and numbered events */ -}}
+<post name="{{.FileName}}" size="{{.FileSize}}">{{range .Events}}{{if .EventSeq}};{{else}}first {{end -}}
+  {{.EventSeq}}@{{$.FileName}}={{.EventText}}{{else}}none{{end}}{{- `</post>` }}"""
+
+
+@query(
+    "http_payload_template",
+    """SELECT source, bundle_no, n AS n_events, md5('<post name="' || name || '" size="' || cast(n_bytes AS VARCHAR) || '">' || events || '</post>') AS digest
+       FROM (SELECT source, bundle_no, name, count(*) AS n, cast(sum(strlen(value) + 1) AS BIGINT) AS n_bytes,
+                    string_agg(CASE seq WHEN 0 THEN 'first ' ELSE ';' END || cast(seq AS VARCHAR) || '@' || name || '=' || value || chr(10), '' ORDER BY seq) AS events
+             FROM (SELECT source, b AS bundle_no, source || '-' || cast(b AS VARCHAR) AS name, value,
+                          row_number() OVER (PARTITION BY source, b ORDER BY doc_id) - 1 AS seq FROM r JOIN messages USING (source, doc_id))
+             GROUP BY source, bundle_no, name)""",
+    **PAYLOAD,
+)
+def http_payload_template(t: Tables):
+    """A template with the bundle's name and size, a range over events, their numbers and a choice by number."""
+    rows = bundles.http_payload(packed(t), ["source", "bundle_no"], "doc_id", post_template=POST_TEMPLATE, comma_separate=False)
+    return _digest(rows)
+
+
 @query(
     "splunk_payload",
     _payload_sql("""string_agg('{"sourcetype":"telemetry:json","event":' || value || '}', '' ORDER BY doc_id)""", "''", "''"),
@@ -432,6 +469,74 @@ def _milli(df, key):
     return df.select(key, "n_events", "n_bytes", scaled("events_per_s"), scaled("bytes_per_s"))
 
 
+@query(
+    "throughput_observed",
+    f"""SELECT count(*) AS input_events, cast(sum(strlen(body)) AS BIGINT) AS input_bytes,
+               count(*) FILTER ({IS_OBJECT}) AS output_events, cast(sum(CASE WHEN {IS_OBJECT} THEN strlen(body) END) AS BIGINT) AS output_bytes,
+               count(*) FILTER (NOT {IS_OBJECT}) AS errors FROM bus_bad""",
+    ("bus_bad",),
+)
+def throughput_observed(t: Tables):
+    """The same figures, reported by the job that writes the events."""
+    seen = Observation("throughput")
+    rows = stats.observed(encode.encode_json(filters.parse_json_body(t.view("bus_bad"))), seen)
+    sinks.write_text(filters.nonempty_filter(rows).select("value"), t.scratch("observed"))
+    figures = seen.get
+    schema = ", ".join(f"{name} bigint" for name in figures)
+    return t.spark.createDataFrame([tuple(figures.values())], schema)
+
+
+METER_SQL = "sum({amount} * CASE WHEN s = a THEN 1 ELSE 1 - exp(-5 / 60.0 / {m}) END * exp((s - {e}) * 5 / 60.0 / {m}) / 5)"
+
+
+def _meter_columns(end: str) -> list[tuple[str, str]]:
+    """Name and SQL of every moving rate, read at the end of the tick ``end``."""
+    amounts = {"events": "1", "bytes": "strlen(body)"}
+    return [(f"{n}_per_s_{m}m", METER_SQL.format(amount=x, m=m, e=end)) for n, x in amounts.items() for m in meters.MINUTES]
+
+
+def _micro(df, *keys):
+    """Rates in millionths, rounded."""
+    rates = [c for c in df.columns if "_per_s" in c]
+    return df.select(*keys, *[F.floor(F.col(c) * 1e6 + 0.5).cast("bigint").alias(c) for c in rates])
+
+
+def _micro_sql(columns) -> str:
+    return ", ".join(f"cast(floor({sql} * 1e6 + 0.5) AS BIGINT) AS {name}" for name, sql in columns)
+
+
+@query(
+    "rate_meters",
+    f"""SELECT routing_key, count(*) AS n_events, cast(sum(strlen(body)) AS BIGINT) AS n_bytes,
+               {_micro_sql([("events_per_s", "(count(*) / ((any_value(b) - any_value(a) + 1) * 5.0))"),
+                            ("bytes_per_s", "(sum(strlen(body)) / ((any_value(b) - any_value(a) + 1) * 5.0))"), *_meter_columns("b")])}
+        FROM (SELECT *, us // 5000000 AS s FROM bus_hits), (SELECT min(us) // 5000000 AS a, max(us) // 5000000 AS b FROM bus_hits)
+        GROUP BY routing_key""",
+    ("bus_hits",),
+)
+def rate_meters(t: Tables):
+    """Mean and moving rates per routing key at the end of the last tick."""
+    rows = t.view("bus_hits").withColumn("ingest_ts", F.timestamp_micros("us"))
+    return _micro(meters.meters(rows, by=["routing_key"]), "routing_key", "n_events", "n_bytes")
+
+
+@query(
+    "rate_meter_readings",
+    f"""SELECT r.routing_key, (r.slot + 1) * 3600 AS read_s, any_value(r.n) AS n_events, {_micro_sql(_meter_columns("(r.slot * 720 + 719)"))}
+        FROM (SELECT routing_key, us // 3600000000 AS slot, count(*) AS n FROM bus_hits GROUP BY ALL) AS r
+        JOIN (SELECT routing_key, body, us // 5000000 AS s, us // 3600000000 AS slot FROM bus_hits) AS h
+          ON h.routing_key = r.routing_key AND h.slot <= r.slot AND h.slot > r.slot - 24,
+        (SELECT min(us) // 5000000 AS a FROM bus_hits)
+        GROUP BY r.routing_key, r.slot""",
+    ("bus_hits",),
+)
+def rate_meter_readings(t: Tables):
+    """Moving rates per routing key at the end of every hour with events."""
+    rows = t.view("bus_hits").withColumn("ingest_ts", F.timestamp_micros("us"))
+    found = meters.meter_readings(rows, by=["routing_key"])
+    return _micro(found, "routing_key", F.unix_seconds("read_at").alias("read_s"), "n_events")
+
+
 @query(
     "delivery_stats",
     """SELECT dest, count(*) FILTER (status = 200) AS sent, count(*) FILTER (status = 400) AS dropped,
@@ -535,8 +640,8 @@ def delivery_ledger(t: Tables):
     return found.select("bundle_id", "attempts", "outcome", F.col("last_attempt.attempt_s").alias("last_attempt"))
 
 
-@query("deliver_pending", "SELECT bundle_id, dest FROM deliveries WHERE status NOT IN (200, 400)", ("deliveries",))
-def deliver_pending(t: Tables):
+@query("pending", "SELECT bundle_id, dest FROM deliveries WHERE status NOT IN (200, 400)", ("deliveries",))
+def pending(t: Tables):
     """Bundles to be sent again: those no attempt of the ledger has closed."""
     attempts = t.view("deliveries")
     return delivery.pending(attempts.select("bundle_id", "dest"), delivery.delivery_ledger(attempts))
@@ -561,3 +666,34 @@ def deliver(t: Tables):
     bodies = bundles.http_payload(packed(t), ["source", "bundle_no"], "doc_id", leef=True)
     named = bodies.withColumn("bundle_id", F.concat_ws("-", "source", "bundle_no"))
     return delivery.deliver(named, post_stub).select("bundle_id", "status", "outcome")
+
+
+ROUNDS = 3
+
+
+def post_in_round(number: int):
+    """Endpoint that is back for a payload, a decimal number, in the round ``payload % 4``; the last digit 7 is refused."""
+
+    def post(body: bytes, headers: dict[str, str]) -> tuple[int, str | None]:
+        value = int(body)
+        if value % 10 == 7:
+            return 400, "bad request"
+        return (200, None) if value % 4 <= number else (503, "busy")
+
+    return post
+
+
+@query(
+    "deliver_pending",
+    f"""SELECT cast(bundle_id AS VARCHAR) AS bundle_id, CASE WHEN o_custkey % 10 = 7 THEN 1 ELSE least(o_custkey % 4 + 1, {ROUNDS}) END AS attempts,
+               CASE WHEN o_custkey % 10 = 7 THEN 'quarantined' WHEN o_custkey % 4 < {ROUNDS} THEN 'done' ELSE 'retry' END AS outcome
+        FROM deliveries""",
+    ("deliveries",),
+)
+def deliver_pending(t: Tables):
+    """Three rounds over one ledger: each sends what no earlier round has closed."""
+    rows = t.view("deliveries").select("bundle_id", F.col("o_custkey").cast("string").alias("payload"))
+    path = t.scratch("ledger")
+    for number in range(ROUNDS):
+        ledger = delivery.deliver_pending(t.spark, rows, path, post_in_round(number))
+    return delivery.delivery_ledger(ledger, when="attempt_ts").select("bundle_id", "attempts", "outcome")

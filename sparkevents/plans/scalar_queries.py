@@ -176,9 +176,14 @@ def runs_of(events, groups: int):
     return frames.pack_run(rows, ["bundle", "span"], "event_id")
 
 
+#: Every frame's content and its place in its file.
+FRAMES_SQL = f"""SELECT event_id % {{n}} AS bundle, md5(props) AS digest,
+    row_number() OVER (PARTITION BY event_id % {{n}}, event_id // {FILE_IDS} ORDER BY event_id) - 1 AS idx FROM events"""
+
+
 @query(
     "read_bundles",
-    "SELECT event_id % 50 AS bundle, count(*) AS n, cast(sum(strlen(props)) AS BIGINT) AS n_bytes FROM events GROUP BY ALL",
+    FRAMES_SQL.format(n=50),
 )
 def read_bundles(t: Tables):
     """Runs written as binary files by the tasks that hold them, then read back and split."""
@@ -186,14 +191,12 @@ def read_bundles(t: Tables):
     write_binary(runs_of(t.view("events"), 50).withColumn("name", F.format_string("b-%d-%d.bin", "bundle", "span")), path)
     found = frames.read_bundles(t.spark, path, "*.bin").filter("error is null")
     bundle = F.regexp_extract("path", r"b-(\d+)-\d+\.bin", 1).cast("bigint")
-    return found.groupBy(bundle.alias("bundle")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("frame").cast("bigint")).alias("n_bytes")
-    )
+    return found.select(bundle.alias("bundle"), F.md5("frame").alias("digest"), "idx")
 
 
 @query(
     "read_event_logs",
-    "SELECT event_id % 40 AS bundle, count(*) AS n, cast(sum(strlen(props)) AS BIGINT) AS n_bytes FROM events GROUP BY ALL",
+    FRAMES_SQL.format(n=40),
 )
 def read_event_logs(t: Tables):
     """The same for event logs, every second one gzipped."""
@@ -204,9 +207,19 @@ def read_event_logs(t: Tables):
     write_binary(named, path)
     found = frames.read_event_logs(t.spark, path).filter("error is null")
     bundle = F.regexp_extract("path", r"e-(\d+)-\d+\.log", 1).cast("bigint")
-    return found.groupBy(bundle.alias("bundle")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("frame").cast("bigint")).alias("n_bytes")
-    )
+    return found.select(bundle.alias("bundle"), F.md5("frame").alias("digest"), "idx")
+
+
+@query(
+    "is_gzip",
+    "SELECT event_id, CASE event_id % 4 WHEN 0 THEN true WHEN 3 THEN NULL ELSE false END AS zipped FROM events",
+)
+def is_gzip(t: Tables):
+    """Bodies behind the three bytes of a gzip head, behind two of them, plain and absent."""
+    head = F.when(F.col("event_id") % 4 == 0, F.unhex(F.lit("1F8B08"))).when(F.col("event_id") % 4 == 1, F.unhex(F.lit("1F8B")))
+    body = F.concat(F.coalesce(head, F.unhex(F.lit(""))), F.col("props").cast("binary"))
+    body = F.when(F.col("event_id") % 4 != 3, body)
+    return t.view("events").select("event_id", S.is_gzip(body).alias("zipped"))
 
 
 def write_binary(df, path: str) -> None:

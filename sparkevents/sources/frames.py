@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import is_gzip
 from ..functions.structs import arrow_schema
 from .sensor_schema import message_class, spark_type
 
@@ -109,11 +110,11 @@ def read_event_logs(spark: SparkSession, path: str) -> DataFrame:
     """Frames of saved event logs, ``*.log`` or gzipped ``*.log.gz``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     files = files.filter(F.col("path").rlike(r"\.log(\.gz)?$")).select("path", F.col("content").alias("body"))
-    schema = files.schema
+    schema, files = files.schema, files.withColumn("zipped", is_gzip(F.col("body")))
 
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = [gzip.decompress(b) if b[:2] == b"\x1f\x8b" else b for b in batch.column(1).to_pylist()]
+            bodies = [gzip.decompress(b) if z else b for b, z in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.binary())], names=["path", "body"])
 
     return split_frames(files.mapInArrow(unzip, schema), archive=False)
