@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and character Markov models that tell random strings from ordinary identifiers.
 
 Each model gives the probability of a token's characters, each given the two before it. A token whose log-likelihood
-ratio (random over ordinary) per character and in sum is high enough is a span of the kind ``random``.
+ratio (random over ordinary) per character and in sum is high enough is a span of the kind ``random``. Every token of 16
+characters and more is scored; one of letters or of digits alone needs a higher ratio.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ BASE = {
     "hex": re.compile(r"[0-9a-f]{24,}"),
 }
 ASSIGN_LENGTH = 6
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+HAS_DIGIT, HAS_LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 WORD = re.compile(r"[A-Za-z0-9+/_=-]{5,}")
 #: Characters of tokens; every other one counts as the first.
 ALPHABET = "\0ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -47,10 +50,13 @@ class MarkovModel:
     ratio: np.ndarray
     per_character: float = 0.35
     total: float = 8.0
+    #: Limit a character for tokens without a digit or without a letter, which words and numbers are, too.
+    per_character_plain: float = 2.0
 
     def is_random(self, token: str) -> bool:
         score = float(self.ratio[trigrams(token)].sum())
-        return score >= self.total and score >= self.per_character * len(token)
+        mixed = HAS_DIGIT.search(token) and HAS_LETTER.search(token)
+        return score >= self.total and score >= (self.per_character if mixed else self.per_character_plain) * len(token)
 
 
 def trigrams(token: str) -> np.ndarray:
@@ -80,16 +86,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], model: MarkovModel) -> list[tuple[int, int, int]]:
-    """Tokens outside the fixed patterns that look random. A token has letters and digits."""
-    found = []
+    """Tokens that look random, and what the sorted spans of the fixed patterns leave of a token, from 16 characters on."""
+    found, at = [], 0
     for m in TOKEN.finditer(text):
-        token = m.group()
-        if token.isalpha() or not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
-            continue
-        if any(start < m.end() and m.start() < end for start, _, end in base):
-            continue
-        if model.is_random(token):
-            found.append((m.start(), 3, m.end()))
+        start = m.start()
+        while at < len(base) and base[at][0] < m.end():
+            if base[at][0] - start >= LEAST and model.is_random(text[start : base[at][0]]):
+                found.append((start, 3, base[at][0]))
+            start = max(start, base[at][2])
+            if start >= m.end():  # the span may reach into the next token
+                break
+            at += 1
+        if m.end() - start >= LEAST and model.is_random(text[start : m.end()]):
+            found.append((start, 3, m.end()))
     return found
 
 
@@ -100,6 +109,15 @@ def seeded_strings(count: int = 3_000, seed: int = 5) -> list[str]:
     return ["".join(draw.choices(alphabets[i % len(alphabets)], k=draw.randint(16, 48))) for i in range(count)]
 
 
+def seeded_ordinary(count: int = 600, seed: int = 6) -> list[str]:
+    """Labelled ordinary strings that a corpus may lack: decimal numbers, and words of syllables joined as in paths."""
+    draw = random.Random(seed)
+    numbers = ["".join(draw.choices("0123456789", k=draw.randint(5, 24))) for _ in range(count)]
+    word = lambda: "".join(draw.choice("bcdfghlmnprstv") + draw.choice("aeiou") for _ in range(draw.randint(2, 4)))
+    paths = [mark + mark.join(word() for _ in range(draw.randint(2, 5))) + mark for mark in draw.choices("/-_=+", [6, 3, 3, 1, 1], k=count)]
+    return numbers + paths
+
+
 def labelled_samples(docs: DataFrame, rows: int = SAMPLE_ROWS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``token, is_random, n``: strings inside the fixed patterns, and the words around them, of about ``rows`` texts."""
     schema = "token string, is_random boolean, n long"
@@ -126,7 +144,7 @@ def train(samples: DataFrame, **limits: float) -> MarkovModel:
     """Both models from labelled tokens ``token, is_random``; distinct tokens count once.
 
     Transition counts are summed on the executors: a vector entry per (class, trigram), a bounded table. The seeded
-    random strings are among the samples, so that a corpus without secrets still gives a model.
+    random and ordinary strings are among the samples, so that a corpus without secrets, numbers or paths gives a model, too.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -136,7 +154,8 @@ def train(samples: DataFrame, **limits: float) -> MarkovModel:
                 yield pd.DataFrame({"is_random": flag, "cell": cells, "n": n})
 
     spark = samples.sparkSession
-    seeded = spark.createDataFrame([(t, True) for t in seeded_strings()], "token string, is_random boolean")
+    labelled = [(t, True) for t in seeded_strings()] + [(t, False) for t in seeded_ordinary()]
+    seeded = spark.createDataFrame(labelled, "token string, is_random boolean")
     tokens = samples.select("token", "is_random").filter("token is not null and is_random is not null").unionByName(seeded)
     cells = tokens.distinct().mapInPandas(count, "is_random boolean, cell long, n long")
     counts = np.zeros((2, len(ALPHABET) ** 3))

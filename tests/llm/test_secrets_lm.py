@@ -53,6 +53,42 @@ def test_random_strings_and_identifiers(model):
     assert [text[s:e] for s, _, e in secrets.random_spans(text, [], model)] == ["q7Zt0XbR9LmW2vKd8YpS"]
 
 
+def test_keys_of_one_kind_of_character_and_beside_fixed_patterns(model):
+    letters, mixed = "qXzVbTjWkRpGvMxLwHcF", "q7Zt0XbR9LmW2vKd8YpS"
+    text = f"id {letters} but somefunctionidentifier 20240131123456789012 /usr/share/common/files/ {mixed}/AKIA{'Q7' * 8}/{mixed} {mixed}-{HEX}"
+    found = secrets.random_spans(text, secrets.base_spans(text), model)
+    assert [text[s:e] for s, _, e in found] == [letters, f"{mixed}/", f"/{mixed}", f"{mixed}-"], [text[s:e] for s, _, e in found]
+    assert secrets.random_spans("zq" + HEX + "x9", secrets.base_spans("zq" + HEX + "x9"), model) == []
+
+
+def plain_random(text, model):
+    """What is left of each token, character by character."""
+    covered = {i for s, _, e in secrets.base_spans(text) for i in range(s, e)}
+    found = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text):
+        free = "".join("." if i in covered else text[i] for i in range(*m.span()))
+        found += [(m.start() + x.start(), 3, m.start() + x.end()) for x in re.finditer("[^.]{16,}", free) if model.is_random(x.group())]
+    return found
+
+
+def test_random_spans_against_plain_ones(model):
+    draw = np.random.default_rng(3)
+    parts = ["token=", "q7Zt0XbR9LmW2vKd8YpS", HEX, "AKIA" + "Z9" * 9, " ", "/", "secret: ", "word_of_text_here", "qXzVbTjWkRpGvMxL", "password=\"", '"']
+    hits = 0
+    for _ in range(400):
+        text = "".join(draw.choice(parts, draw.integers(1, 12)))
+        found = secrets.random_spans(text, secrets.base_spans(text), model)
+        assert found == plain_random(text, model), text
+        hits += len(found)
+    assert hits > 100
+
+
+def test_words_of_the_corpus_are_no_secrets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(secrets.labelled_samples(docs)))
+    assert found.selectExpr("explode(spans) AS s").filter("s.kind = 'random'").count() == 0
+
+
 def test_redaction(spark, model):
     data = [(i, t, len(t) if t is not None else None) for i, t in enumerate(TEXTS)]
     docs = spark.createDataFrame(data, "doc_id long, text string, n_chars int")
