@@ -58,33 +58,35 @@ BLOCK_RESULTS = {
     3: "NotTerminatedCriticalSystemProcess", 4: "NotTerminatedWhitelistPath", 5: "NotTerminatedOpenProcessError",
     6: "NotTerminatedTerminateError",
 }
+# Names of the mitigation types, from 1 on.
 MITIGATIONS = {
-    n + 1: name
-    for n, name in enumerate(
-        "Dep Sehop Asr Aslr NullPage HeapSpray MandatoryAslr Eaf EafPlus BottomUpAslr LoadLibrary MemoryProtection "
-        "SimulateExecFlow StackPivot CallerChecks BannedFunctions DeepHooks AntiDetours".split()
-    )
-}
+    1: "Dep", 2: "Sehop", 3: "Asr", 4: "Aslr", 5: "NullPage", 6: "HeapSpray", 7: "MandatoryAslr", 8: "Eaf",
+    9: "EafPlus", 10: "BottomUpAslr", 11: "LoadLibrary", 12: "MemoryProtection", 13: "SimulateExecFlow",
+    14: "StackPivot", 15: "CallerChecks", 16: "BannedFunctions", 17: "DeepHooks", 18: "AntiDetours",
+}
 TCP = 6
 
-_MSG = "fork_pid pid process_guid link_process link_sensor process_path "
-_HASH = "sha256 md5 "
+# Fields that are left out of an event while they are empty.
+MESSAGE_FIELDS = ("fork_pid", "pid", "process_guid", "link_process", "link_sensor", "process_path")
+HASH_FIELDS = ("sha256", "md5")
 OMITTED = {
-    "process": _MSG + "parent_md5 parent_sha256 link_parent username uid",
-    "modload": _MSG,
-    "filemod": _MSG + _HASH + "file_sha256 file_md5 filetype_name",
-    "netconn_v2": _MSG + _HASH + "ja3 ja3s proxy_port",
-    "netconn_v1": _MSG + _HASH + "remote_port local_ip local_port remote_ip",
-    "regmod": _MSG + _HASH,
-    "childproc": _MSG + "parent_guid link_child childproc_commandline childproc_username",
-    "crossproc": _MSG + _HASH + "requested_access link_target",
-    "emet": _MSG + _HASH,
-    "script": _MSG + _HASH,
-    "tamper": "",
-    "blocked": "link_target process_guid process_create_time command_line pid uid username blocked_error "
-    "blocked_event blocked_reason blocked_result",
-    "module": "",
-}
+    "process": (*MESSAGE_FIELDS, "parent_md5", "parent_sha256", "link_parent", "username", "uid"),
+    "modload": (*MESSAGE_FIELDS,),
+    "filemod": (*MESSAGE_FIELDS, *HASH_FIELDS, "file_sha256", "file_md5", "filetype_name"),
+    "netconn_v2": (*MESSAGE_FIELDS, *HASH_FIELDS, "ja3", "ja3s", "proxy_port"),
+    "netconn_v1": (*MESSAGE_FIELDS, *HASH_FIELDS, "remote_port", "local_ip", "local_port", "remote_ip"),
+    "regmod": (*MESSAGE_FIELDS, *HASH_FIELDS),
+    "childproc": (*MESSAGE_FIELDS, "parent_guid", "link_child", "childproc_commandline", "childproc_username"),
+    "crossproc": (*MESSAGE_FIELDS, *HASH_FIELDS, "requested_access", "link_target"),
+    "emet": (*MESSAGE_FIELDS, *HASH_FIELDS),
+    "script": (*MESSAGE_FIELDS, *HASH_FIELDS),
+    "tamper": (),
+    "blocked": (
+        "link_target", "process_guid", "process_create_time", "command_line", "pid", "uid", "username",
+        "blocked_error", "blocked_event", "blocked_reason", "blocked_result",
+    ),
+    "module": (),
+}
 NUMERIC_OMITTED = {
     "fork_pid", "pid", "remote_port", "local_port", "proxy_port", "requested_access", "process_create_time",
     "blocked_error",
@@ -553,7 +555,7 @@ def omit_empty(family: str, values: Values, o: Options) -> Values:
     """Turn zero or empty values into NULL where the family leaves the key out."""
     out = {}
     for k, c in values.items():
-        if k not in OMITTED[family].split() or (k in NEVER_EMPTY and o.url and family != "blocked"):
+        if k not in OMITTED[family] or (k in NEVER_EMPTY and o.url and family != "blocked"):
             out[k] = c
         else:
             out[k] = F.when(c != (F.lit(0) if k in NUMERIC_OMITTED else F.lit("")), c)
