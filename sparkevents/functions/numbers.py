@@ -20,8 +20,8 @@ _NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][-+]?[0-9]++)?(?=[\s,}\]]|$
 _CHANGED = r"(?=-?[0-9]++(?:\.[0-9]++)?[eE]|-?[0-9]++\.[0-9]*0(?![0-9])|-?[0-9.]{19}|-0)" + _NUMBER
 _OTHERS = rf'(?:[^"0-9-]++|"{_REST_OF_STRING}|(?!{_CHANGED})[-0-9][-+0-9.eE]*+)*+'
 _KEPT = rf"(?s)\G({_OTHERS})({_CHANGED})"
-#: Whether the pattern above is worth while; it may say yes because of a string.
-_HINT = r"[0-9][eE]|\.[0-9]*0(?![0-9])|[0-9.]{19}|-0"
+#: Whether the pattern above is worth while: such a number behind what may stand before one. It may say yes because of a string.
+_HINT = rf"(?:^|[\s\[,:]){_CHANGED}"
 
 _MARKED = rf"(?:{MARK}|\\u[eE]000)"
 _TWICE = rf'(?s)\G((?:[^"]++|"(?!{_MARKED}){_REST_OF_STRING})*+)"({_MARKED}{_REST_OF_STRING})'
@@ -31,7 +31,8 @@ _TOKENS = rf'(?s)"{_REST_OF_STRING}|[\[\]{{}},:]|[^\[\]{{}},:"]++'
 
 def keep(body: Column) -> Column:
     """JSON text in which the numbers that parsing would change are marked strings."""
-    safe = F.when(body.rlike(_MARKED), F.regexp_replace(body, _TWICE, f'$1"{MARK}$2')).otherwise(body)
+    marked = F.contains(body, F.lit(MARK)) | F.contains(body, F.lit("\\ue000")) | F.contains(body, F.lit("\\uE000"))
+    safe = F.when(marked, F.regexp_replace(body, _TWICE, f'$1"{MARK}$2')).otherwise(body)
     return F.when(body.rlike(_HINT), F.regexp_replace(safe, _KEPT, f'$1"{MARK}$2"')).otherwise(safe)
 
 
@@ -40,10 +41,20 @@ def is_kept(v: Column) -> Column:
     return F.coalesce(v.try_cast("string").rlike(rf"^{MARK}[-0-9]"), F.lit(False))
 
 
+def unmarked(plain: Column) -> Column:
+    """Text without the mark of a kept number."""
+    return F.when(plain.startswith(MARK), F.substr(plain, F.lit(2))).otherwise(plain)
+
+
+def unmarked_string(plain: Column) -> Column:
+    """Text of a string without the second mark; NULL for a kept number."""
+    string = F.when(~plain.rlike(f"^{MARK}[-0-9]"), F.substr(plain, F.lit(2)))
+    return F.when(plain.startswith(MARK), string).otherwise(plain)
+
+
 def text(v: Column) -> Column:
     """Text of a scalar value; a kept number prints as it came."""
-    plain = v.cast("string")
-    return F.when(plain.startswith(MARK), F.substr(plain, F.lit(2))).otherwise(plain)
+    return unmarked(v.cast("string"))
 
 
 def json(v: Column) -> Column:

@@ -31,6 +31,7 @@ class Reads:
     def __init__(self, message: str):
         self.message = message
         self.parts: dict[str, Column] = {}
+        self.texts: dict[str, Column] = {}
         self.shared: list[dict[str, Column]] = []
 
     def _part(self, kind: str, key: str, take: Callable[[Column], Column]) -> Column:
@@ -39,7 +40,8 @@ class Reads:
         return F.col(name)
 
     def text(self, key: str) -> Column:
-        return self._part("text", key, V.string_value)
+        self.texts.setdefault(f"_text_{key}", N.unmarked_string(self._part("held", key, V.marked_string)))
+        return F.col(f"_text_{key}")
 
     def int32(self, key: str) -> Column:
         return self._part("int32", key, V.int32_value)
@@ -54,8 +56,7 @@ class Reads:
         return [F.col(f"_{name}") for name in results]
 
     def columns(self, df: DataFrame) -> DataFrame:
-        df = df.withColumns(self.parts) if self.parts else df
-        for results in filter(None, self.shared):
+        for results in filter(None, [self.parts, self.texts, *self.shared]):
             df = df.withColumns(results)
         return df
 
@@ -72,10 +73,10 @@ def apply_rules(df: DataFrame, rules: list[Rule], removed: tuple[str, ...] = (),
         values |= rule(reads)
     values = {k: v for k, v in values.items() if k not in keep}
     if not values:
-        return df.withColumn(message, V.overlay(F.col(message), {}, removed))
+        return df.withColumn(message, V.without(F.col(message), removed))
     ready = reads.columns(df).withColumns({f"_new_{k}": v for k, v in values.items()})
     ready = ready.withColumn("_set", V.value_map({k: F.col(f"_new_{k}") for k in values}))
-    rewritten = V.put(F.col(message), F.col("_set"), removed)
+    rewritten = V.put(F.col(message), F.col("_set"), removed, tuple(values))
     return ready.select(*[rewritten.alias(message) if c == message else F.col(c) for c in df.columns])
 
 
@@ -110,9 +111,9 @@ def md5_rule(r: Reads) -> Values:
 def ioc_type_rule(r: Reads) -> Values:
     """An object-valued ``ioc_type`` gets its text ``md5`` upper-cased, whatever its length."""
     ioc = r.value("ioc_type")
-    (inner,) = r.share(ioc_object=V.as_message(F.when(V.is_object(ioc), ioc)))
+    (inner,) = r.share(ioc_object=V.as_message(ioc))
     (md5,) = r.share(ioc_md5=V.string_value(inner["md5"]))
-    fixed = V.as_object(V.overlay(inner, {"md5": V.variant(S.upper(md5))}))
+    fixed = V.as_object(V.assign(inner, "md5", V.variant(S.upper(md5))))
     return {"ioc_type": F.when(md5.isNotNull(), fixed)}
 
 
@@ -150,18 +151,28 @@ def full_guid(text: Column) -> tuple[Column, Column, Column]:
     return guid, F.when(text.isNotNull(), segment), ok
 
 
-def process_guid_rule(r: Reads) -> Values:
+def process_guid_texts(r: Reads) -> Values:
     """Process identifier and segment from a well-formed ``unique_id`` (not for alerts), else from ``process_id``."""
     unique = F.when(~F.col("routing_key").startswith("alert."), r.text("unique_id"))
     _, _, ok = full_guid(unique)
     (source,) = r.share(process_source=F.when(ok, unique).otherwise(r.text("process_id")))
     guid, segment, _ = full_guid(source)
-    return {"process_guid": V.variant(guid), "segment_id": V.variant(segment)}
+    guid, segment = r.share(process_guid_text=guid, segment_id_text=segment)
+    return {"process_guid": guid, "segment_id": segment}
 
 
-def parent_guid_rule(r: Reads) -> Values:
+def parent_guid_texts(r: Reads) -> Values:
     guid, segment, _ = full_guid(r.text("parent_unique_id"))
-    return {"parent_guid": V.variant(guid), "parent_segment_id": V.variant(segment)}
+    guid, segment = r.share(parent_guid_text=guid, parent_segment_id_text=segment)
+    return {"parent_guid": guid, "parent_segment_id": segment}
+
+
+def process_guid_rule(r: Reads) -> Values:
+    return {k: V.variant(c) for k, c in process_guid_texts(r).items()}
+
+
+def parent_guid_rule(r: Reads) -> Values:
+    return {k: V.variant(c) for k, c in parent_guid_texts(r).items()}
 
 
 def link_rule(base_url: str, fresh: bool = False) -> Rule:
@@ -172,10 +183,8 @@ def link_rule(base_url: str, fresh: bool = False) -> Rule:
     def links(r: Reads) -> Values:
         new: Values = {}
         if fresh:
-            new = {**process_guid_rule(r), **parent_guid_rule(r)}
-        text = lambda key: F.coalesce(
-            *([new[key].cast("string")] if key in new else []), N.text(r.value(key))
-        )
+            new = {**process_guid_texts(r), **parent_guid_texts(r)}
+        text = lambda key: F.coalesce(*([new[key]] if key in new else []), N.text(r.value(key)))
         values = {"link_sensor": url(F.lit("#/host/"), r.int32("sensor_id").cast("string"))}
         for key in MD5_KEYS:
             shown = S.upper(r.text(key)) if fresh else r.text(key)
@@ -268,17 +277,17 @@ def explode_docs(df: DataFrame, fix: Callable[[DataFrame], DataFrame] | None = N
     in column ``_doc``. ``doc_pos`` is the element's position, NULL without ``docs``. A message whose ``docs`` is no
     array gives one row, an element that is no object its row, without ``msg`` and with the reason in ``error``.
     """
-    docs = F.col("msg")["docs"]
-    has_docs = F.map_contains_key(F.col("msg"), "docs")
-    is_array = has_docs & F.coalesce(V.kind(docs).startswith("ARRAY"), F.lit(False))
-    elements = F.when(is_array, docs.try_cast("array<variant>")).otherwise(F.array(F.lit(None).cast("variant")))
-    kinds = df.withColumns({"_bad_docs": has_docs & ~is_array, "_in_array": is_array})
-    rows = kinds.select("*", F.posexplode(elements).alias("doc_pos", "_element"))
-    rows = rows.withColumn("_there", F.coalesce(V.is_object(F.col("_element")), F.lit(False)))
-    rows = rows.withColumn("_doc", F.when(F.col("_there"), V.as_message(F.col("_element"))))
+    found = df.withColumn("_docs", F.col("msg")["docs"].try_cast("array<variant>"))
+    is_array = F.col("_docs").isNotNull()
+    elements = F.coalesce("_docs", F.array(F.lit(None).cast("variant")))
+    bad_docs = F.map_contains_key(F.col("msg"), "docs") & ~is_array
+    # a row holds its own document only: the others stay behind before the message is repeated
+    kinds = found.withColumns({"msg": V.without(F.col("msg"), ("docs",)), "_bad_docs": bad_docs, "_in_array": is_array})
+    rows = kinds.select("*", F.posexplode(elements).alias("doc_pos", "_element")).drop("_docs")
+    rows = rows.withColumn("_doc", V.as_message(F.col("_element"))).withColumn("_there", F.col("_doc").isNotNull())
     rows = (fix(rows) if fix else rows).withColumn("_wrapped", V.as_object(F.array("_doc")))
     there = F.col("_there")
-    one = V.put(F.col("msg"), F.create_map(F.lit("docs"), F.col("_wrapped")))
+    one = F.map_concat(F.col("msg"), F.create_map(F.lit("docs"), F.col("_wrapped")))
     previous = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
     wrong = F.when(F.col("_bad_docs"), "docs is not an array").when(
         F.col("_in_array") & ~there, "element of docs is not an object"
