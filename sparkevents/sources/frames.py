@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import decimal
 import gzip
 import io
 import struct
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +24,8 @@ BAD_MEMBER = "unreadable archive member"
 UNDECODABLE = "undecodable frame"
 BATCH_ROWS = 1_000
 BATCH_BYTES = 16 << 20
+#: Begins the record at the end of every zip archive.
+ARCHIVE_END = b"PK\x05\x06"
 
 FRAME = "member string, idx bigint, frame binary, error string"
 
@@ -50,7 +52,7 @@ def split_run(body: bytes) -> Iterator[tuple[int, bytes | None, str | None]]:
 def split_body(body: bytes, archive: bool = True) -> Iterator[tuple[str, int, bytes | None, str | None]]:
     """``(member, index, frame, error)`` of a body that is a zip archive or, failing that, one run."""
     try:
-        members = zipfile.ZipFile(io.BytesIO(body)) if archive else None
+        members = zipfile.ZipFile(io.BytesIO(body)) if archive and ARCHIVE_END in body else None
     except (zipfile.BadZipFile, ValueError, OSError):
         members = None
     if members is None:
@@ -120,17 +122,31 @@ def read_event_logs(spark: SparkSession, path: str) -> DataFrame:
     return split_frames(files.mapInArrow(unzip, schema), archive=False)
 
 
-def _to_plain(message) -> dict:
-    """Populated fields of a decoded message; absent ones are left out and become NULL."""
-    out = {}
-    for field, value in message.ListFields():
-        if field.type != field.TYPE_MESSAGE:
-            out[field.name] = decimal.Decimal(value) if field.type == field.TYPE_UINT64 else value
-        elif field.is_repeated:
-            out[field.name] = [_to_plain(v) for v in value]
-        else:
-            out[field.name] = _to_plain(value)
-    return out
+def _structs(messages: list, kind: pa.StructType) -> pa.StructArray:
+    """Decoded messages as structs, built field by field; absent fields are NULL."""
+    return pa.StructArray.from_arrays([_column(messages, f.name, f.type) for f in kind], fields=list(kind))
+
+
+def _column(messages: list, name: str, kind: pa.DataType) -> pa.Array:
+    if pa.types.is_list(kind):
+        lists = [getattr(m, name) for m in messages]
+        size = np.array([len(x) for x in lists], np.int32)
+        ends = pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32))
+        items = _structs([x for items in lists for x in items], kind.value_type)
+        return pa.ListArray.from_arrays(ends, items, type=kind, mask=pa.array(size == 0))
+    if pa.types.is_struct(kind):
+        there = np.array([m.HasField(name) for m in messages], bool)
+        return _placed([getattr(messages[i], name) for i in np.flatnonzero(there)], there, kind)
+    values = [getattr(m, name) if m.HasField(name) else None for m in messages]
+    return pa.array(values, pa.uint64()).cast(kind) if pa.types.is_decimal(kind) else pa.array(values, kind)
+
+
+def _placed(messages: list, there: np.ndarray, kind: pa.StructType) -> pa.Array:
+    """Structs of the messages in the places that are ``there``, NULL in the others."""
+    if not messages:
+        return pa.nulls(len(there), kind)
+    found = _structs(messages, kind)
+    return found if there.all() else found.take(pa.array(np.cumsum(there) - 1, mask=~there))
 
 
 def decode_frames(df: DataFrame, frame: str = "frame") -> DataFrame:
@@ -147,29 +163,52 @@ def decode_frames(df: DataFrame, frame: str = "frame") -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from google.protobuf.message import DecodeError
 
-        event = message_class()
+        event, whole = message_class(), pa.struct(list(part_types))
         for batch in batches:
-            plain, errors = [], []
-            for raw, error in zip(batch.column(len(kept)).to_pylist(), batch.column(len(kept) + 1).to_pylist()):
-                values: dict = {}
-                if error is None:
+            messages, errors, there = [], batch.column(len(kept) + 1).to_pylist(), np.zeros(batch.num_rows, bool)
+            for row, raw in enumerate(batch.column(len(kept)).to_pylist()):
+                if errors[row] is None:
                     try:
                         message = event.FromString(raw)
                         if message.IsInitialized():
-                            values = _to_plain(message)
+                            messages.append(message)
+                            there[row] = True
                         else:
-                            error = UNDECODABLE
+                            errors[row] = UNDECODABLE
                     except (DecodeError, TypeError):
-                        error = UNDECODABLE
-                plain.append(values)
-                errors.append(error)
+                        errors[row] = UNDECODABLE
             arrays = [batch.column(i) for i in range(len(kept))] + [pa.array(errors, pa.string())]
-            arrays += [pa.array([p.get(f.name) for p in plain], type=f.type) for f in part_types]
+            arrays += _placed(messages, there, whole).flatten()
             yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, target)], schema=target)
 
     return rows.select(*kept, frame, "error").mapInArrow(decode, schema)
 
 
+def _fill(messages: list, values: pa.StructArray) -> None:
+    """Set the fields of messages, column by column; NULLs are left out."""
+    for field, column in zip(values.type, values.flatten()):
+        name, some = field.name, messages
+        if column.null_count:
+            some = [messages[i] for i in np.flatnonzero(column.is_valid())]
+            column = column.drop_null()
+        if not some:
+            continue
+        if pa.types.is_struct(field.type):
+            inner = [getattr(m, name) for m in some]
+            for m in inner:
+                m.SetInParent()
+            _fill(inner, column)
+        elif pa.types.is_list(field.type):
+            items = column.flatten()
+            if items.null_count:
+                raise ValueError(f"{name}: a message has no NULL entries")
+            _fill([getattr(m, name).add() for m, n in zip(some, column.value_lengths().to_pylist()) for _ in range(n)], items)
+        else:
+            column = column.cast(pa.uint64()) if pa.types.is_decimal(field.type) else column
+            for m, value in zip(some, column.to_numpy(zero_copy_only=False).tolist()):
+                setattr(m, name, value)
+
+
 def encode_frames(df: DataFrame, out: str = "frame") -> DataFrame:
     """Sensor messages back to frames, for replay: the other input columns and the frame's bytes."""
     parts = spark_type()
@@ -177,27 +216,12 @@ def encode_frames(df: DataFrame, out: str = "frame") -> DataFrame:
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(out, T.BinaryType())])
     target = arrow_schema(schema)
 
-    def fill(message, values: dict) -> None:
-        for name, value in values.items():
-            if value is None:
-                continue
-            if isinstance(value, dict):
-                getattr(message, name).SetInParent()
-                fill(getattr(message, name), value)
-            elif isinstance(value, list):
-                for item in value:
-                    fill(getattr(message, name).add(), item)
-            else:
-                setattr(message, name, int(value) if isinstance(value, decimal.Decimal) else value)
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         event = message_class()
         for batch in batches:
-            frames = []
-            for values in batch.select(parts.names).to_pylist():
-                message = event()
-                fill(message, values)
-                frames.append(message.SerializePartialToString())
+            messages = [event() for _ in range(batch.num_rows)]
+            _fill(messages, batch.select(parts.names).to_struct_array())
+            frames = [m.SerializePartialToString() for m in messages]
             arrays = [batch.column(i) for i in range(len(kept))] + [pa.array(frames, pa.binary())]
             yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, target)], schema=target)
 

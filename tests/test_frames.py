@@ -3,8 +3,10 @@
 import gzip
 import io
 import struct
+import sys
 import zipfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,6 +107,79 @@ def test_encode_is_the_inverse_of_decode(spark):
     assert bytes(again) == raw
 
 
+def sensor_frames(n):
+    """Messages of three kinds, some without a field, a part or strings."""
+    for i in range(n):
+        m = message_class()()
+        m.header.version = 4
+        if i % 3 == 0:
+            m.childproc.suppressed.SetInParent()
+            m.childproc.pid, m.childproc.commandline, m.childproc.path = -i, b"\xff\x00", "\u00e9"
+        if i % 3 == 1:
+            m.networkv2.remoteIpAddress.ipv6High, m.networkv2.outbound = (1 << 64) - 1 - i, False
+        for k in range(i % 4):
+            m.strings.add().guid = k
+        yield m.SerializeToString()
+
+
+def python_calls(f, batch):
+    """What a task gives for a batch, and how many Python functions it calls."""
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    try:
+        done = list(f(iter([batch])))
+    finally:
+        sys.setprofile(None)
+    return pa.Table.from_batches(done).combine_chunks().to_batches()[0], calls
+
+
+def test_messages_are_taken_apart_and_put_together_by_columns(spark, monkeypatch):
+    tasks, calls = [], {}
+    df = spark.createDataFrame([], "id int, frame binary, error string")
+    message = frames.decode_frames(df).drop("error")
+    with monkeypatch.context() as m:
+        m.setattr(type(df), "mapInArrow", lambda self, f, schema: tasks.append(f))
+        frames.decode_frames(df)
+        frames.encode_frames(message)
+    decode, encode = tasks
+    for n in (12, 12, 1200):  # the first makes the message class
+        raw = list(sensor_frames(n))
+        batch = pa.RecordBatch.from_pydict({"id": pa.array(range(n), pa.int32()), "frame": raw, "error": pa.nulls(n, pa.string())})
+        decoded, taken = python_calls(decode, batch)
+        encoded, put = python_calls(encode, decoded.drop_columns("error"))
+        assert encoded.column("frame").to_pylist() == raw
+        calls[n] = taken + put
+    assert calls[1200] < 2 * calls[12]
+
+
+def test_frames_in_a_batch_keep_their_places(spark):
+    good = list(sensor_frames(6))
+    bodies = [b"\xff\xff", good[1], None, good[3], good[2], b""]
+    df = spark.createDataFrame([(i, b, "given" if i == 4 else None) for i, b in enumerate(bodies)], "id int, frame binary, error string")
+    found = rows(frames.decode_frames(df), "id", "error", "header.version", "networkv2.remoteIpAddress.ipv6High", "childproc.pid", F.size("strings"))
+    assert found == [
+        (0, frames.UNDECODABLE, None, None, None, None),
+        (1, None, 4, (1 << 64) - 2, None, 1),
+        (2, frames.UNDECODABLE, None, None, None, None),
+        (3, None, 4, None, -3, 3),
+        (4, "given", None, None, None, None),
+        (5, frames.UNDECODABLE, None, None, None, None),
+    ]
+
+
+def test_only_bodies_that_end_like_an_archive_are_opened_as_one(monkeypatch):
+    def refused(*_):
+        raise AssertionError("opened")
+
+    monkeypatch.setattr(zipfile, "ZipFile", refused)
+    assert list(frames.split_body(frame(b"PK\x03\x04"))) == [("", 0, b"PK\x03\x04", None)]
+
+
 @pytest.mark.parametrize("scheme", ["", "file://", "file:"])
 def test_runs_written_to_a_path_or_uri_come_back(spark, tmp_path, monkeypatch, scheme):
     monkeypatch.chdir(tmp_path)
