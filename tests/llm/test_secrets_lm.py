@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -156,6 +157,26 @@ def test_training_sums_every_target_of_every_learned_text(spark, monkeypatch):
     assert seen[0][:-1, lm.VOTES].sum() == pytest.approx(expected.sum(), rel=1e-3)
 
 
+def test_sums_by_token_are_those_of_reduceat_without_a_copy_of_all_rows():
+    draw = np.random.default_rng(4)
+    count = [*range(1, 150), 300, 1000, 1, 1, 2, 2]
+    tokens = draw.permutation(np.repeat(np.arange(len(count)) * 3, count))
+    values = draw.normal(size=(len(tokens), 48)).astype(np.float32)
+    for n in (len(tokens), 40, 1, 0):
+        found, expected = np.ones((500, 48)), np.ones((500, 48))
+        order = np.argsort(tokens[:n], kind="stable")
+        kinds, at = np.unique(tokens[:n][order], return_index=True)
+        expected[kinds] += np.add.reduceat(values[:n][order], at, axis=0)
+        lm.summed(values[:n], tokens[:n], found)
+        assert np.array_equal(found, expected)
+    out = np.zeros((2_000, 48))
+    tracemalloc.start()
+    lm.summed(values[:8_000], np.arange(8_000) % 1_000, out)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 0.8 * values[:8_000].nbytes
+
+
 def small_model():
     draw = np.random.default_rng(0)
     emits = draw.dirichlet(np.ones(lm.VOCABULARY) * 0.1 + 0.05, 4).T
