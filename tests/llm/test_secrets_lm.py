@@ -205,3 +205,55 @@ def test_attention_scores_each_token_once_from_the_past_only():
             assert chances.sum() == pytest.approx(1, abs=1e-4)
             assert own[at + i] == pytest.approx(math.log10(chances[t[i]]), abs=1e-3)
             assert border[at + i] == pytest.approx(math.log10(chances[model.begins].sum()), abs=1e-3)
+
+
+def test_statistics_of_a_round_against_plain_sums_of_every_pair(monkeypatch):
+    monkeypatch.setattr(lm, "BLOCKS", 2)
+    monkeypatch.setattr(lm, "MET", 4)
+    monkeypatch.setattr(lm, "PRODUCT_ROWS", 6)
+    monkeypatch.setattr(lm, "LAID_OUT", 150)
+    draw = np.random.default_rng(2)
+    model = lm.begun(np.full(lm.VOCABULARY, 1 / lm.VOCABULARY), np.zeros(lm.VOCABULARY, bool))
+    sizes = np.array([1, 40, 0, 31, 32, 70, 100, 33])
+    lengths = draw.integers(1, 3, 50)
+    pieces, counts = draw.integers(0, 60, lengths.sum()) * 800, draw.integers(1, 6, 50)
+    numbers, learned = draw.integers(0, 50, sizes.sum()), np.arange(8) != 3
+    found, parts = np.zeros(lm.SUMS), 0
+    for part in lm.windows(learned, sizes, numbers, counts, pieces, lengths):
+        lm.add_statistics(found, model, *part)
+        parts += 1
+    assert parts > 2
+    expected = np.zeros(lm.SUMS)
+    begin, ends = np.cumsum(sizes) - sizes, np.cumsum(lengths)
+    for text in np.flatnonzero(learned):
+        own = numbers[begin[text] : begin[text] + sizes[text]]
+        ids = [int(x) for w in own for x in pieces[ends[w] - lengths[w] : ends[w]]] + [lm.END]
+        weight = [1.0 if counts[w] <= lm.RARE else lm.OFTEN for w in own for _ in range(lengths[w])] + [lm.OFTEN]
+        inputs = [lm.END, *ids[:-1]]
+        for i, (t, n) in enumerate(zip(ids, weight, strict=True)):
+            first = max(0, i // lm.STRIDE * lm.STRIDE + lm.STRIDE - lm.WINDOW)
+            past, away = np.array(inputs[first : i + 1]), i - np.arange(first, i + 1)
+            a = np.exp(model.key[past].astype(float) @ model.query[inputs[i]] + model.place[away])
+            a /= a.sum()
+            joint = a[:, None] * model.votes[past] * model.emits[t]
+            joint *= n / joint.sum()
+            push = joint.sum(1) - n * a
+            np.add.at(expected[:, lm.VOTES], past, joint)
+            expected[t, lm.EMITS] += joint.sum(0)
+            expected[inputs[i], lm.QUERY] += push @ model.key[past]
+            np.add.at(expected[:, lm.KEY], past, push[:, None] * model.query[inputs[i]])
+            np.add.at(expected[lm.VOCABULARY], away, push)
+    assert lm.with_factors(found, model) == pytest.approx(expected, rel=1e-3, abs=1e-4)
+
+
+def test_windows_of_a_large_batch_are_laid_out_some_texts_at_a_time():
+    def peak(texts):
+        sizes, numbers = np.full(texts, 1_000), np.arange(texts * 1_000) % 50
+        tracemalloc.start()
+        for part in lm.windows(np.ones(texts, bool), sizes, numbers, np.ones(50, int), np.arange(50), np.ones(50, int)):
+            assert len(part[0]) <= lm.LAID_OUT // lm.STRIDE + len(sizes)
+        found = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found / texts
+
+    assert peak(2_000) < 0.6 * peak(200)
