@@ -2,7 +2,10 @@
 
 import hashlib
 import math
+import os
 import re
+import subprocess
+import sys
 import tracemalloc
 import zlib
 from collections import Counter
@@ -257,3 +260,61 @@ def test_windows_of_a_large_batch_are_laid_out_some_texts_at_a_time():
         return found / texts
 
     assert peak(2_000) < 0.6 * peak(200)
+
+
+def test_scoring_of_a_large_batch_lays_out_some_texts_at_a_time(monkeypatch):
+    model = small_model()
+    draw = np.random.default_rng(5)
+    sizes = draw.integers(0, 300, 800)
+    begin = np.concatenate(([0], np.cumsum(sizes)))
+    ids = draw.integers(0, 50_000, begin[-1])
+
+    def peak(texts):
+        tracemalloc.start()
+        found = lm.log_chances(model, ids[: begin[texts]], begin[: texts + 1])
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return top, found
+
+    whole = peak(800)
+    monkeypatch.setattr(lm, "LAID_OUT", 1 << 12)
+    some = peak(800)
+    assert some[0] < 0.5 * whole[0]
+    assert all(a == pytest.approx(b, abs=1e-5) for a, b in zip(some[1], whole[1], strict=True))
+
+
+RELEASED = """
+import re
+import numpy as np
+from sparkevents.llm import lm, subwords
+
+def resident():
+    return int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1])
+
+encoder, before = subwords.encoder(subwords.vocabulary_bytes()), resident()
+for part in range(3):
+    words = [f"w{part}x{i:x}" for i in range(120_000)]
+    lm.word_pieces(encoder, words, np.arange(len(words)))
+full = resident()
+del encoder, words
+subwords.release()
+print(before, full, resident())
+"""
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="memory is read from /proc")
+def test_a_worker_hands_back_the_memory_of_its_encoder():
+    found = os.environ | {"PYTHONPATH": os.pathsep.join(filter(None, sys.path))}
+    said = subprocess.run([sys.executable, "-c", RELEASED], capture_output=True, text=True, check=True, env=found).stdout
+    before, full, after = map(int, said.split())
+    assert full - before > 50_000 and after - before < 0.3 * (full - before)
+
+
+def test_batches_are_small_while_texts_are_scored(spark, monkeypatch):
+    name, seen, train = "spark.sql.execution.arrow.maxBytesPerBatch", [], lm.train
+    monkeypatch.setattr(lm, "ROUNDS", 0)
+    monkeypatch.setattr(lm, "train", lambda *args: seen.append(spark.conf.get(name)) or train(*args))
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(i, "the cat sat") for i in range(9)], "doc_id long, text string")
+    assert lm.score(docs, learnable(7, 2), held_out(7, 2)).count() == 9
+    assert seen == [str(lm.BATCH_BYTES)] and spark.conf.get(name) == before
